@@ -35,12 +35,12 @@ def slice_by_order(
 def _with_carry(sliced: DataFrame, keys: Sequence[str], carry: DataFrame, names: Sequence[str]) -> DataFrame:
     """Attach the carries; NULL where a key begins in this very slice."""
     renamed = carry.select(
-        F.col(SLICE).alias("_cs"), *[F.col(k).alias(f"_ck_{k}") for k in keys], *names
+        F.col(SLICE).alias("_carry_slice"), *[F.col(k).alias(f"_ck_{k}") for k in keys], *names
     )
-    cond = F.col(SLICE) == F.col("_cs")
+    cond = F.col(SLICE) == F.col("_carry_slice")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_ck_{k}"))
-    return sliced.join(F.broadcast(renamed), cond, "left").drop("_cs", *[f"_ck_{k}" for k in keys])
+    return sliced.join(F.broadcast(renamed), cond, "left").drop("_carry_slice", *[f"_ck_{k}" for k in keys])
 
 
 def running_totals(
