@@ -263,7 +263,7 @@ def derived_flags(t: Tables) -> DataFrame:
     )
 
 
-PROPER_SQL = f"""WITH tok AS (SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), x -> x <> '') AS w FROM documents),
+PROPER_SQL = f"""WITH tok AS (SELECT doc_id, string_split_regex(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '\\s+') AS w FROM documents),
  x AS (SELECT w[i] AS word, w[i - 1] AS before FROM (SELECT w, unnest(range(2, len(w) + 1)) AS i FROM tok)),
  b AS (SELECT regexp_replace(word, '^[^{X.LATIN_UPPER}{X.LATIN_LOWER}]+|[^{X.LATIN_UPPER}{X.LATIN_LOWER}]+$', '', 'g') AS bare, before FROM x),
  s AS (SELECT regexp_replace(bare, '[{X.LATIN_VOWELS}]+$', '') AS noun FROM b
