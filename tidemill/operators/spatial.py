@@ -118,11 +118,11 @@ def extreme_pairs(
         return _rank_pairs(rows.limit(0), rows.limit(0), rows, n, farthest, digits)
     side = max(max(box[f"{c}1"] - box[f"{c}0"] for c in "xyz"), 1e-9) * (1 + 1e-9)
 
-    def cells(level: int) -> DataFrame:
-        """Boxes and counts of the non-empty cells of one level, with the parent cell's number."""
+    def cells(level: int, above: int) -> DataFrame:
+        """Boxes and counts of the non-empty cells of one level, with their cell at the level ``above``."""
         step = side / 2**level
         c = [F.floor((F.col(a) - F.lit(box[f"{a}0"])) / F.lit(step)).cast("long") for a in "xyz"]
-        up = [F.shiftright(k, 1) for k in c]
+        up = [F.shiftright(k, level - above) for k in c]
         return rows.groupBy(F.struct(*[k.alias(a) for k, a in zip(c, "xyz")]).alias("cell")).agg(
             F.first(F.struct(*[k.alias(a) for k, a in zip(up, "xyz")])).alias("parent"),
             F.count(F.lit(1)).alias("cnt"),
@@ -130,12 +130,12 @@ def extreme_pairs(
             *[F.max(a).alias(f"{a}1") for a in "xyz"],
         )
 
-    def paired(level: int, parents: DataFrame | None) -> DataFrame:
+    def paired(level: int, above: int, parents: DataFrame | None) -> DataFrame:
         """Cell pairs a <= b below the surviving parent pairs, with chord bounds and pair counts."""
-        here = cut_lineage(cells(level))
+        here = cut_lineage(cells(level, above))
         a = here.select(*[F.col(c).alias(f"a_{c}") for c in here.columns])
         b = here.select(*[F.col(c).alias(f"b_{c}") for c in here.columns])
-        if parents is None:
+        if parents is None:  # at most 512 cells, all below the one root
             both = a.join(b, F.col("a_parent") == F.col("b_parent"))
         else:
             both = parents.join(a, F.col("pa") == F.col("a_parent")).join(b, F.col("pb") == F.col("b_parent"))
@@ -156,10 +156,9 @@ def extreme_pairs(
             pairs.alias("pairs"),
         ).where("pairs > 0")
 
-    alive, level = None, 0
+    alive, above, level = None, 0, 3
     while True:
-        level += 1
-        found = cut_lineage(paired(level, alive))
+        found = cut_lineage(paired(level, above, alive))
         # The n-th best guaranteed distance: each of these n cell pairs holds at least one pair.
         sure = F.desc("low") if farthest else F.asc("high")
         best = found.orderBy(sure).limit(n).collect()
@@ -173,6 +172,7 @@ def extreme_pairs(
         alive = alive.select("pa", "pb")
         if total <= budget or level >= deepest:
             break
+        above, level = level, level + 2
     step = side / 2**level
     c = [F.floor((F.col(a) - F.lit(box[f"{a}0"])) / F.lit(step)).cast("long").alias(a) for a in "xyz"]
     placed = rows.select(F.struct(*c).alias("cell"), "id", "lon", "lat")
