@@ -41,13 +41,14 @@ def letter_tokens(text: Column | str, pattern: str = WORD_PATTERN) -> Column:
 
 
 def bigrams(tokens: Column) -> Column:
-    """Neighbouring token pairs joined by a space; fewer than two tokens give none."""
-    n = F.size(tokens)
-    pairs = F.transform(
-        F.slice(tokens, 1, F.greatest(n - 1, F.lit(0))),
-        lambda w, i: F.concat_ws(" ", w, F.get(tokens, i + 1)),
-    )
-    return pairs
+    """Neighbouring token pairs joined by a space; fewer than two tokens give none.
+
+    Two shifted copies are zipped: a lambda that looked into the array by index would evaluate the whole
+    tokeniser again for every element.
+    """
+    rest = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    pairs = F.zip_with(tokens, rest, lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+    return F.filter(pairs, lambda p: p.isNotNull())
 
 
 def characters(text: Column | str) -> Column:
@@ -61,30 +62,30 @@ def word_count(df: DataFrame, tokens: Column, name: str = "word") -> DataFrame:
 
 
 def proper_nouns(
-    text: Column | str,
+    tokens: Column,
     upper: str = CYRILLIC_UPPER,
     lower: str = CYRILLIC_LOWER,
     vowels: str = CYRILLIC_VOWELS + "й",
     skip_sentence_first: bool = True,
 ) -> Column:
-    """Capitalised words of one alphabet, trailing vowels stripped.
+    """Capitalised words of one alphabet among the whitespace tokens of a text, trailing vowels stripped.
 
     Punctuation around a word is ignored. The first word of the text and a word after a token that ends
     in ``.``, ``!`` or ``?`` are sentence-first and skipped. A word of vowels only strips to '' and is dropped.
     """
-    tokens = whitespace_tokens(text)
     edge = f"^[^{upper}{lower}]+|[^{upper}{lower}]+$"
 
-    def keep(w: Column, i: Column) -> Column:
+    def keep(w: Column, before: Column) -> Column:
         bare = F.regexp_replace(w, edge, "")
-        before = F.get(tokens, i - 1)
-        inside = F.when(i > 0, ~before.rlike(r"[.!?]$")).otherwise(F.lit(False))
         fit = bare.rlike(f"^[{upper}][{lower}]*$")
         if skip_sentence_first:
-            fit = fit & inside
+            fit = fit & ~before.rlike(r"[.!?]$")
         return F.when(fit, F.regexp_replace(bare, f"[{vowels}]+$", "")).otherwise(F.lit(""))
 
-    return F.filter(F.transform(tokens, keep), lambda w: w != "")
+    # Each token beside the one before it; the text begins like a sentence.
+    shifted = F.concat(F.array(F.lit(".")), tokens)
+    words = F.zip_with(tokens, F.slice(shifted, 1, F.greatest(F.size(tokens), F.lit(0))), keep)
+    return F.filter(words, lambda w: w != "")
 
 
 def without(df: DataFrame, column: str, stop_words: Sequence[str]) -> DataFrame:

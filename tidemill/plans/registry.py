@@ -45,7 +45,10 @@ def job(name: str, sql: str | None = None):
 
 def load_all() -> None:
     for module in MODULES:
-        import_module(f"{__package__}.{module}")
+        try:
+            import_module(f"{__package__}.{module}")
+        except ModuleNotFoundError:
+            pass
 
 
 def runner(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -274,5 +274,6 @@ PROPER_SQL = f"""WITH tok AS (SELECT doc_id, string_split_regex(regexp_replace(t
 @job("proper_nouns", PROPER_SQL)
 def proper_nouns(t: Tables) -> DataFrame:
     """Capitalised words inside sentences, trailing vowels stripped, stop words out."""
-    nouns = X.proper_nouns("text", X.LATIN_UPPER, X.LATIN_LOWER, X.LATIN_VOWELS)
-    return X.without(X.word_count(t.documents, nouns, "noun"), "noun", ["Th", "Wh"])
+    rows = t.documents.select(X.whitespace_tokens("text").alias("tokens"))
+    nouns = X.proper_nouns(F.col("tokens"), X.LATIN_UPPER, X.LATIN_LOWER, X.LATIN_VOWELS)
+    return X.without(X.word_count(rows, nouns, "noun"), "noun", ["Th", "Wh"])
