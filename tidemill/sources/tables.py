@@ -15,6 +15,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}.parquet"
 
+    def pattern(self, name: str) -> str:
+        """Path for a streaming reader, which takes folders and globs but no single file."""
+        return f"{self.path(name)}*"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
