@@ -139,7 +139,8 @@ def extreme_pairs(
             both = a.join(b, F.col("a_parent") == F.col("b_parent"))
         else:
             both = parents.join(a, F.col("pa") == F.col("a_parent")).join(b, F.col("pb") == F.col("b_parent"))
-        both = both.where("a_cell <= b_cell")
+        # Below one parent each pair comes twice; below two different parents, in one order only.
+        both = both.where((F.col("a_parent") != F.col("b_parent")) | (F.col("a_cell") <= F.col("b_cell")))
         gaps, spans = [], []
         for c in "xyz":
             gap = F.greatest(F.col(f"a_{c}0") - F.col(f"b_{c}1"), F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.lit(0.0))
