@@ -52,9 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder; survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    It survives the loss of any executor, is computed once (an eager checkpoint computes its input
+    twice), carries no growing plan or constraints into the next round of a loop, and its file sizes tell
+    the planner which sides are small. The folder's owner clears it between runs.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
