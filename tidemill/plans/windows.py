@@ -134,8 +134,8 @@ DAYS = {"1d": 86_400, "7d": 7 * 86_400, "30d": 30 * 86_400}
     "rolling_1_7_30d",
     "SELECT event_id, user_id, "
     + ", ".join(
-        f"count(*) OVER w{n} AS cnt_{n}, round(sum(value) OVER w{n}, 4) AS sum_{n}, "
-        f"round(sum(value) OVER w{n} / count(*) OVER w{n}, 4) AS mean_{n}"
+        f"count(*) OVER w{n} AS cnt_{n}, CAST(sum(CAST(value AS DECIMAL(28, 4))) OVER w{n} AS DOUBLE) AS sum_{n}, "
+        f"CAST(sum(CAST(value AS DECIMAL(28, 4))) OVER w{n} AS DOUBLE) / count(*) OVER w{n} AS mean_{n}"
         for n in DAYS
     )
     + " FROM events WINDOW "
@@ -151,8 +151,8 @@ def rolling_1_7_30d(t: Tables) -> DataFrame:
     for n in DAYS:
         cols += [
             F.col(f"cnt_{n}"),
-            F.round(f"sum_{n}", 4).alias(f"sum_{n}"),
-            F.round(F.col(f"sum_{n}") / F.col(f"cnt_{n}"), 4).alias(f"mean_{n}"),
+            F.col(f"sum_{n}"),
+            (F.col(f"sum_{n}") / F.col(f"cnt_{n}")).alias(f"mean_{n}"),
         ]
     return out.select("event_id", "user_id", *cols)
 
