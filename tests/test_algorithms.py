@@ -93,11 +93,13 @@ def test_pagerank(spark):
 
 def test_paths(spark):
     v, e = _graph(spark, [(1, 2), (1, 3), (2, 4), (3, 4), (4, 5), (2, 5), (5, 6), (1, 2)])
-    got = sorted(tuple(r) for r in G.shortest_paths(v, e, "id = 1", "id IN (5, 6)").collect())
-    assert got == [(1, 2, 5)]
-    assert sorted(tuple(r) for r in G.shortest_paths(v, e, "id = 1", "id = 4").collect()) == [(1, 2, 4), (1, 3, 4)]
-    assert G.shortest_paths(v, e, "id = 6", "id = 1").count() == 0
-    assert [tuple(r) for r in G.shortest_paths(v, e, "id = 6", "id > 4").collect()] == [(6,)]
+    def paths(source, target):
+        return sorted((r["path"], r["length"]) for r in G.shortest_paths(v, e, source, target).collect())
+
+    assert paths("id = 1", "id IN (5, 6)") == [([1, 2, 5], 2)]
+    assert paths("id = 1", "id = 4") == [([1, 2, 4], 2), ([1, 3, 4], 2)]
+    assert paths("id = 6", "id = 1") == []
+    assert paths("id = 6", "id > 4") == [([6], 0)]
     chains = {tuple(r) for r in G.two_hops(v, e, "id = 1", "id = 4").collect()}
     assert chains == {(1, 2, 4, 2), (1, 3, 4, 1)}
 

@@ -84,14 +84,15 @@ def two_hops(v: DataFrame, e: DataFrame, a: Column | str, c: Column | str) -> Da
 def shortest_paths(v: DataFrame, e: DataFrame, source: Column | str, target: Column | str, longest: int = 10) -> DataFrame:
     """All shortest paths from the vertices meeting ``source`` to those meeting ``target``.
 
-    Columns v0..vD for the least depth D with a hit; an empty table (column v0) without one. The search
-    keeps one row per reached vertex and layer edge; paths are written out only from edges that lead to a target.
+    Columns ``path`` (vertex ids from start to target) and ``length`` (edges), for the least length with a hit;
+    no rows without one. The search keeps one row per reached vertex and layer edge; paths are written out
+    only from edges that lead to a target.
     """
     starts = cut_lineage(v.where(source).select("id").distinct())
     goals = cut_lineage(v.where(target).select("id").distinct())
     here = starts.join(goals, "id", "left_semi")
     if not fits(here, 0):
-        return here.select(F.col("id").alias("v0"))
+        return _as_path(here.select(F.col("id").alias("v0")), 0)
     edges = cut_lineage(weighted(v, e).select("src", "dst"))
     seen, frontier, layers = starts, starts, []
     for _ in range(longest):
@@ -105,7 +106,12 @@ def shortest_paths(v: DataFrame, e: DataFrame, source: Column | str, target: Col
         if fits(frontier, 0):
             break
         seen = cut_lineage(seen.unionByName(frontier))
-    return starts.where(F.lit(False)).select(F.col("id").alias("v0"))
+    return _as_path(starts.where(F.lit(False)).select(F.col("id").alias("v0")), 0)
+
+
+def _as_path(vertices: DataFrame, length: int) -> DataFrame:
+    path = F.array(*[F.col(f"v{i}") for i in range(length + 1)])
+    return vertices.select(path.alias("path"), F.lit(length).alias("length"))
 
 
 def _paths(layers: list[DataFrame], goals: DataFrame) -> DataFrame:
@@ -118,7 +124,7 @@ def _paths(layers: list[DataFrame], goals: DataFrame) -> DataFrame:
     paths = useful[0].toDF("v0", "v1")
     for depth, step in enumerate(useful[1:], start=1):
         paths = paths.join(step.toDF(f"v{depth}", f"v{depth + 1}"), f"v{depth}")
-    return paths.select(*[f"v{i}" for i in range(len(useful) + 1)])
+    return _as_path(paths, len(useful))
 
 
 def destinations(e: DataFrame, v: DataFrame, source: str, attributes: list[str]) -> DataFrame:

@@ -117,13 +117,14 @@ def motif_two_hop(t: Tables) -> DataFrame:
 
 @job(
     "bfs_paths",
-    f"""WITH {GRAPH}, d AS (SELECT DISTINCT src, dst FROM e) SELECT x.src AS v0, x.dst AS v1, y.dst AS v2, z.dst AS v3 FROM d x
+    f"""WITH {GRAPH}, d AS (SELECT DISTINCT src, dst FROM e) SELECT x.src || '>' || x.dst || '>' || y.dst || '>' || z.dst AS path, 3 AS length FROM d x
     JOIN d y ON x.dst = y.src JOIN d z ON y.dst = z.src JOIN v ON v.id = z.dst
     WHERE x.src = 'S0' AND v.id LIKE 'S%' AND v.nation = 7 AND z.dst <> 'S0'""",
 )
 def bfs_paths(t: Tables) -> DataFrame:
     """All shortest paths from one supplier to the suppliers of a nation."""
-    return G.shortest_paths(_vertices(t), _edges(t), "id = 'S0'", "id LIKE 'S%' AND nation = 7", 4)
+    paths = G.shortest_paths(_vertices(t), _edges(t), "id = 'S0'", "id LIKE 'S%' AND nation = 7", 4)
+    return paths.select(F.array_join("path", ">").alias("path"), "length")
 
 
 @job(
