@@ -7,6 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
 from ..sources.tables import Tables
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -51,6 +52,7 @@ def load_all() -> None:
 def runner(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return fn(Tables(spark, sf_dir))
 
     return run

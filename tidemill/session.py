@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,25 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that workers can import it from any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidemill-code-"), "tidemill_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
