@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import exact_dedup, packing, token_counts
+from . import exact_dedup, ngram_join, packing, token_counts
 
 JOBS = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,31 @@ def op6_token_counts(t: Tables) -> DataFrame:
 def op9_packing(t: Tables) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(t.documents, public_tokenizers.path("word_bpe_49k.json"), window=2048, end_id=1)
+
+
+@job
+def op1_ngram_jaccard_join(t: Tables) -> DataFrame:
+    """Classes of documents that links of Jaccard similarity 0.8 or more on five-word shingles form."""
+    return ngram_join.near_components(t.documents, percent=80, width=5)
+
+
+SQL["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS ws
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, sha256(array_to_string(ws[i:i + 4], ' ')) AS sh
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS MATERIALIZED (
+    SELECT p.a, p.b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2
+    ) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.c >= 80 * (na.n + nb.n - p.c)
+), r(doc_id, other) AS (
+    SELECT a, b FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least_id, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""
