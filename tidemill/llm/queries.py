@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import exact_dedup, ngram_join, packing, token_counts
+from . import exact_dedup, ngram_join, packing, quality, substring_dedup, token_counts
 
 JOBS = {}
 SQL: dict[str, str] = {}
@@ -75,3 +75,15 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.leas
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
 """
+
+
+@job
+def op3_quality_classifier(t: Tables) -> DataFrame:
+    """Quality score of every document, learned from preference pairs of labelled ones."""
+    return quality.quality_scores(t.documents, t.labels)
+
+
+@job
+def op5_substring_dedup(t: Tables) -> DataFrame:
+    """Passages of documents that occurred before, by content-defined chunks."""
+    return substring_dedup.repeated_passages(t.documents).select("doc_id", "start", "length")
