@@ -2,8 +2,8 @@
 
 A gear hash rolls over the bytes of a text: each byte adds a fixed random value, and older bytes are shifted out after
 ``WINDOW`` of them. A chunk ends where the hash's top bits are zero, so a cut depends on the last ``WINDOW`` bytes alone, and an
-insertion moves no cut beyond the chunk that it falls into. Chunks are told apart by a 64-bit digest; all but the first
-occurrence of a digest, by (doc_id, place), are repeats. Repeated chunks that follow each other make a run, and runs of
+insertion moves no cut beyond the chunk that it falls into. Chunks are told apart by a 64-bit digest; a chunk is a
+repeat if a document of smaller doc_id holds its digest. Repeated chunks that follow each other make a run, and runs of
 ``min_bytes`` or more are repeated passages, so that no short phrase and no single equal digest counts.
 
 Chunks are compared in a sorted stream by digest. Repeats within one Arrow batch are known beforehand and do not go to
@@ -24,9 +24,9 @@ from ..session import cut_lineage, small_side
 from .common import id_and_text, rows
 
 WINDOW = 16
-#: One byte in 2**CUT_BITS ends a chunk; one of MOST_BYTES is ended there.
+#: One byte in 2**CUT_BITS ends a chunk; a chunk of MOST_BYTES (at most 1024) is ended there.
 CUT_BITS = 5
-MOST_BYTES = 1024
+MOST_BYTES = 128
 #: Bytes of a repeated passage at the least. A passage of 50 words, of which up to a chunk on either side is not seen, has more.
 MIN_BYTES = 96
 #: Chunks that are compared within a worker at a time.
@@ -70,21 +70,20 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = [len(x) for x in place]
         docs, versions = (np.repeat(np.array(x, dtype=np.int64), sizes) for x in (doc, version))
         order = np.lexsort((p, versions, docs, d))
+        d_in, doc_in = d[order], docs[order]
+        new = np.append(True, d_in[1:] != d_in[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
         again = np.zeros(len(d), dtype=np.int64)
-        again[order[1:]] = d[order[1:]] == d[order[:-1]]
+        again[order] = doc_in != doc_in[first]
         return pa.record_batch([pa.array(x) for x in (d, docs, versions, p | again)], names=["digest", "doc", "version", "place"])
 
     digest_of = xxhash.xxh3_64_digest
     for batch in batches:
         held, kept = 0, ([], [], [], [])
-        seen = set()
         for doc, data in rows(batch):
             if doc is None or not data:
                 continue
             version = xxhash.xxh3_64_intdigest(data) >> 33
-            if (doc, version) in seen:  # the same row again
-                continue
-            seen.add((doc, version))
             ends = cuts(data).astype(np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             kept[0].extend([digest_of(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
@@ -100,23 +99,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (digest, doc, version, place): those that are not the first of their digest."""
-    last, first = None, None  # digest of the row before; the first row of its group
+    """From rows sorted by (digest, doc, version, place): those whose digest a document before theirs has."""
+    last, first = None, None  # digest of the row before, and the first document of its group
     for batch in batches:
         if not batch.num_rows:
             continue
         digest, doc, version, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        new = np.ones(len(digest), dtype=bool)
-        new[1:] = digest[1:] != digest[:-1]
-        new[0] = last is None or digest[0] != last
-        # The first row may come twice, from two rows that are the same.
+        new = np.append(last is None or digest[0] != last, digest[1:] != digest[:-1])
         at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
-        own = np.stack([doc, version, place >> 1])
-        origin = own[:, np.maximum(at, 0)]
-        if first is not None:
-            origin[:, at < 0] = np.array(first)[:, None]
-        repeat = ((place & 1) == 1) | (~new & (own != origin).any(axis=0))
-        last, first = digest[-1], tuple(origin[:, -1].tolist())
+        origin = np.where(at < 0, 0 if first is None else first, doc[np.maximum(at, 0)])
+        repeat = ((place & 1) == 1) | (doc != origin)
+        last, first = digest[-1], origin[-1]
         yield pa.record_batch(
             [pa.array(a[repeat]) for a in (doc, version, place >> 1 << 1)], names=["doc", "version", "place"]
         )
@@ -160,11 +153,11 @@ def _runs(min_bytes: int):
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """doc_id, version, start and length (in bytes of UTF-8) of the passages that occurred before, in a document of
-    smaller doc_id or earlier in the same one.
+    """doc_id, version, start and length (in bytes of UTF-8) of the passages that a document of smaller doc_id holds.
 
-    ``version`` tells texts of one doc_id apart. Rows that repeat both doc_id and text are one text, not a repeat. Null
-    and empty texts, and rows without doc_id, hold no passages. An empty table gives no rows. Other columns are ignored.
+    What repeats within one document alone is no repeated passage; neither is what rows that repeat a doc_id share, and
+    ``version`` tells their texts apart. Null and empty texts, and rows without doc_id, hold no passages. An empty table
+    gives no rows. Other columns are ignored.
     """
     known = F.when(F.col("place") % 2 == 1, F.xxhash64("doc", "place")).otherwise(F.col("digest"))
     chunks = id_and_text(docs).mapInArrow(_chunks, CHUNKS)
