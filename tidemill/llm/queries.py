@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import exact_dedup, ngram_join, packing, quality, substring_dedup, token_counts
+from . import exact_dedup, ngram_join, one_bit_search, packing, piece_scan, quality, revisits, substring_dedup, token_counts, url_filters
 
 JOBS = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,137 @@ def op3_quality_classifier(t: Tables) -> DataFrame:
 def op5_substring_dedup(t: Tables) -> DataFrame:
     """Passages of documents that occurred before, by content-defined chunks."""
     return substring_dedup.repeated_passages(t.documents).select("doc_id", "start", "length")
+
+
+@job
+def op7_one_bit_search(t: Tables) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
+    return one_bit_search.nearest(t.embeddings, t.embeddings.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+SQL["op7_one_bit_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(c.e, q.e), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 20
+"""
+
+
+@job
+def op8_piece_scan(t: Tables) -> DataFrame:
+    """SentencePiece ids of every document, and the digest of the text that they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = piece_scan.decode(piece_scan.encode(t.documents, path), path)
+    return decoded.select("doc_id", "n_pieces", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+#: Four visits to each page: the first one full but for every eleventh page, later ones mostly not modified; every seventh page changes
+#: at the third visit, and some visits send no entity tag. Times follow page_id, so visits to different pages interleave.
+CAPTURES = """
+SELECT page_id * 4 + k AS capture_id, url, 1700000000 + page_id * 60 + k * 500000 AS fetch_time,
+       CASE WHEN (k = 0 AND page_id % 11 <> 0) OR (k = 2 AND page_id % 5 = 0) THEN 200 ELSE 304 END AS status,
+       CASE WHEN (page_id + k) % 6 = 5 THEN NULL
+            ELSE concat('"', md5(concat(url, CASE WHEN k >= 2 AND page_id % 7 = 0 THEN 'b' ELSE 'a' END)), '"') END AS etag,
+       CASE WHEN k >= 2 AND page_id % 7 = 0 THEN 'Tue' ELSE 'Mon' END AS modified,
+       concat('max-age=', CAST(k AS STRING)) AS cache, md5(html) AS digest
+FROM visits
+"""
+
+
+@job
+def op2_warc_revisits(t: Tables) -> DataFrame:
+    """Visits to all pages, with not-modified ones resolved to the responses that they stand for."""
+    visits = t.pages.select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    rows = t.spark.sql(CAPTURES.replace("FROM visits", "FROM {visits}"), visits=visits)
+    names = [F.lit(x) for x in ("ETag", "Last-Modified", "Cache-Control", "X-Payload")]
+    headers = F.map_from_arrays(F.array(*names), F.array("etag", "modified", "cache", "digest"))
+    sent = F.map_filter(headers, lambda k, v: v.isNotNull() & ((F.col("status") == 200) | (k != "X-Payload")))
+    found = revisits.resolve(rows.withColumn("headers", sent))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select("capture_id", "url", "fetch_time", "outcome", "response_id", F.array_join(F.array_sort(lines), "\n").alias("headers"))
+
+
+SQL["op2_warc_revisits"] = r"""
+WITH visits AS (SELECT page_id, url, html, CAST(unnest(range(4)) AS INTEGER) AS k FROM pages), raw AS (
+""" + CAPTURES + r"""
+), parts AS (
+    SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM raw
+), cut AS (
+    SELECT *, regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) AS scheme,
+           regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1) AS host,
+           regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1) AS path, regexp_extract(u, '(\?.*)$', 1) AS query FROM parts
+), named AS (
+    SELECT capture_id, fetch_time, status, etag, modified, cache, digest,
+           regexp_replace(lower(CASE WHEN lower(scheme) = 'https' THEN regexp_replace(host, ':443$', '') ELSE regexp_replace(host, ':80$', '') END), '^www\.', '')
+           || regexp_replace(path, '/+$', '')
+           || regexp_replace(regexp_replace(regexp_replace(regexp_replace(query, '([?&])(utm_[a-z]+|fbclid|gclid)=[^&]*', '\1', 'g'), '&+', '&', 'g'),
+                             '\?&', '?', 'g'), '[?&]$', '') AS url
+    FROM cut
+), latest AS (
+    SELECT *, max(CASE WHEN status = 200 THEN fetch_time * 1000000000 + capture_id END) OVER (
+        PARTITION BY url ORDER BY fetch_time, capture_id) % 1000000000 AS found FROM named
+), met AS (
+    SELECT a.*, r.etag AS old_etag, r.modified AS old_modified, r.digest AS old_digest,
+           CASE WHEN a.status = 200 THEN 'response' WHEN a.found IS NULL THEN 'no_response'
+                WHEN a.etag IS NOT NULL THEN CASE WHEN coalesce(a.etag = r.etag, false) THEN 'resolved' ELSE 'mismatch' END
+                WHEN a.modified = r.modified THEN 'resolved' ELSE 'mismatch' END AS outcome
+    FROM latest a LEFT JOIN named r ON r.capture_id = a.found
+)
+SELECT capture_id, url, fetch_time, outcome,
+       CASE outcome WHEN 'response' THEN capture_id WHEN 'resolved' THEN CAST(found AS BIGINT) END AS response_id,
+       concat_ws(chr(10), 'cache-control: ' || cache,
+           'etag: ' || CASE WHEN outcome = 'resolved' THEN coalesce(etag, old_etag) ELSE etag END,
+           'last-modified: ' || CASE WHEN outcome = 'resolved' THEN old_modified ELSE modified END,
+           'x-payload: ' || CASE WHEN status = 200 THEN digest WHEN outcome = 'resolved' THEN old_digest END) AS headers
+FROM met
+"""
+
+#: List entries from pages: hosts and domains that are blocked and unblocked, and single paths that are allowed, by the day.
+ENTRIES = r"""
+SELECT page_id AS entry_id, list, action, (1700000000 + page_id * 600) // 86400 * 86400 AS entry_time,
+       CASE WHEN list = 'allow' THEN host || path WHEN page_id % 50 = 12 THEN regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) ELSE host END AS pattern
+FROM (
+    SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
+           regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+           CASE WHEN page_id % 50 = 11 THEN 'allow' ELSE 'block' END AS list,
+           CASE WHEN page_id % 10 = 7 THEN 'remove' ELSE 'add' END AS action
+    FROM pages WHERE page_id % 10 IN (3, 7) OR page_id % 50 IN (11, 12)
+) q
+"""
+
+
+@job
+def op10_url_filters(t: Tables) -> DataFrame:
+    """Every page as a capture, evaluated against the list entries active at its fetch time."""
+    entries = t.spark.sql(ENTRIES.replace("//", "DIV").replace(":DIV", "://").replace("FROM pages", "FROM {pages}"), pages=t.pages)
+    captures = t.pages.select(F.col("page_id").alias("capture_id"), "url", (1700000000 + F.col("page_id") * 600).alias("fetch_time"))
+    return url_filters.evaluate(captures, entries)
+
+
+SQL["op10_url_filters"] = r"""
+WITH entries AS (""" + ENTRIES + r"""), held AS (
+    SELECT * FROM (
+        SELECT list, pattern, action, entry_id, entry_time AS valid_from,
+               lead(entry_time) OVER (PARTITION BY list, pattern ORDER BY entry_time, entry_id) AS valid_to
+        FROM entries WHERE pattern <> ''
+    ) WHERE action = 'add' AND (valid_to IS NULL OR valid_to > valid_from)
+), c AS (
+    SELECT page_id AS capture_id, 1700000000 + page_id * 600 AS at, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
+           regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path FROM pages
+), active AS (
+    SELECT c.capture_id, h.* FROM c JOIN held h ON h.valid_from <= c.at AND (h.valid_to IS NULL OR c.at < h.valid_to)
+        AND (c.host = h.pattern OR ends_with(c.host, '.' || h.pattern) OR c.host || c.path = h.pattern OR starts_with(c.host || c.path, h.pattern || '/') AND contains(h.pattern, '/'))
+), ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY capture_id) AS n_active,
+           row_number() OVER (PARTITION BY capture_id ORDER BY length(pattern) DESC, (list = 'allow') DESC, list DESC, entry_id DESC) AS rn FROM active
+)
+SELECT c.capture_id, coalesce(r.list, 'none') AS decision, r.entry_id, r.pattern, coalesce(r.n_active, 0) AS n_active
+FROM c LEFT JOIN ranked r ON r.capture_id = c.capture_id AND r.rn = 1
+"""
