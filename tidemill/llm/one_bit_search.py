@@ -47,7 +47,8 @@ def estimates(codes: tuple, query: np.ndarray, turn: np.ndarray, bound: float =
     packed, norm, correction = codes
     width = len(query)
     signs = np.unpackbits(packed, axis=1, count=width).astype(np.float32) * 2 - 1
-    return _from_signs(signs, norm, correction, query[None, :], turn, bound)
+    middle, error = _from_signs(signs, norm, correction, query[None, :], turn, bound)
+    return middle[0], error[0]
 
 
 def _from_signs(signs, norm, correction, queries, turn, bound):

@@ -32,8 +32,8 @@ def canonical_url(url: Column) -> Column:
 
 
 def lower_names(headers: Column) -> Column:
-    """Header map with lower-case names; of names that differ in case only the last one counts."""
-    entries = F.map_entries(headers)
+    """Header map with lower-case names; of names that differ in case only the last one in byte order counts."""
+    entries = F.array_sort(F.map_entries(headers))
     names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
     last = F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: F.lower(e["key"]) == n), -1)["value"])
     return F.map_from_arrays(names, last)
