@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ PIECES = (
 ARROW = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 #: Sequence ids are partition << SHIFT | number within the partition.
 SHIFT = 36
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 
 
 class WordIds:
@@ -99,6 +100,12 @@ class WordIds:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def word_ids(definition: bytes) -> WordIds:
+    """One object for each vocabulary in a worker, whose tasks go on with the words that earlier ones have met."""
+    return WordIds(definition)
+
+
 class Packer:
     """Online packing of one partition; ``pieces`` yields the rows of the windows that are done."""
 
@@ -220,7 +227,7 @@ def pack(
     last = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(source.value)
+        encode = word_ids(source.value)
         packer = Packer(window, most_open, TaskContext.get().partitionId() << SHIFT)
         for batch in batches:
             for doc_id, data in rows(batch):
