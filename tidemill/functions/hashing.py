@@ -3,6 +3,8 @@ and under every partitioning, and the digest is standard, so results can be reco
 
 from __future__ import annotations
 
+from math import exp
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,14 +30,19 @@ def bucket(n: int, seed: int, *keys: str | Column) -> Column:
     return word(digest(seed, *keys), 0) % n
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) draw from a uniform number by the inverse distribution function."""
-    total, term, out = 0.0, 0.36787944117144233, F.lit(0)
-    steps = []
-    for k in range(13):
+def poisson(u: Column, rate: float = 1.0) -> Column:
+    """Poisson(``rate``) draw from a uniform number by the inverse distribution function, up to where 32 bits tell draws apart."""
+    if not 0 < rate <= 500:
+        raise ValueError("the rate must be above 0 and at most 500")
+    total, term, k, out = 0.0, exp(-rate), 0, F.lit(0)
+    while total < 1 - 2.0**-32 and k < 20 + 4 * rate:
         total += term
-        steps.append(total)
-        term /= k + 1
-    for edge in steps:
-        out = out + F.when(u >= edge, 1).otherwise(0)
+        k += 1
+        term *= rate / k
+        out = out + F.when(u >= total, 1).otherwise(0)
     return out
+
+
+def poisson_one(u: Column) -> Column:
+    """Poisson(1) draw from a uniform number."""
+    return poisson(u)

@@ -59,15 +59,15 @@ def curve(df: DataFrame, target: str, score: str) -> DataFrame:
     return run.select(
         score, "pos", "neg", "tp", "fp",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / total[0]).alias("recall"),
-        (F.col("fp") / total[1]).alias("fpr"),
+        F.try_divide(F.col("tp"), total[0]).alias("recall"),
+        F.try_divide(F.col("fp"), total[1]).alias("fpr"),
     )
 
 
 def areas(points: DataFrame) -> DataFrame:
-    """ROC area (trapezoids, ties at half) and average precision from a ``curve``."""
-    roc = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)) / (F.sum("pos") * F.sum("neg"))
-    ap = F.sum(F.col("pos") * F.col("precision")) / F.sum("pos")
+    """ROC area (trapezoids, ties at half) and average precision from a ``curve``; NULL where a class is missing."""
+    roc = F.try_divide(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)), F.sum("pos") * F.sum("neg"))
+    ap = F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.sum("pos"))
     return points.agg(roc.alias("roc_auc"), ap.alias("average_precision"))
 
 

@@ -13,15 +13,16 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import CountVectorizer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import urls
 from ..sources.sinks import load_model, save_model
 from . import metrics
 from .features import encoded_stages, text_stages
@@ -51,15 +52,62 @@ def majority_accuracy(train: DataFrame, test: DataFrame, label: str = "label") -
 
 
 def classify_text(
-    df: DataFrame, key: str, text: str, target: str, stop_words: Sequence[str] | None, ngram: int | None = None
+    df: DataFrame,
+    key: str,
+    text: str,
+    target: str,
+    stop_words: Sequence[str] | None,
+    ngram: int | None = None,
+    buckets: int = 200_000,
+    smoothing: float = 1.0,
 ) -> DataFrame:
-    """Test accuracy of naive Bayes on hashed TF-IDF, and of the majority class."""
+    """Test accuracy of naive Bayes on hashed TF-IDF and of the majority class, over the same test rows.
+
+    A class that the train part does not have counts as wrong.
+    """
     train, test = _parts(df, key)
-    index = StringIndexer(inputCol=target, outputCol="label", handleInvalid="skip")
-    stages = [index, *text_stages(text, stop_words, 1 << 14, ngram), NaiveBayes(smoothing=1.0, modelType="multinomial")]
-    model = Pipeline(stages=stages).fit(train)
+    index = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep")
+    front = Pipeline(stages=[index, *text_stages(text, stop_words, buckets, ngram)]).fit(train)
+    model = NaiveBayes(smoothing=smoothing, modelType="multinomial").fit(front.transform(train))
+    scored = model.transform(front.transform(test))
     base = majority_accuracy(train, test, target)
-    return _table(df, [("majority", base), ("naive_bayes", accuracy(model.transform(test)))], "model string, accuracy double")
+    sizes = int(train.count()), int(test.count())
+    rows = [("majority", *sizes, base), ("naive_bayes", *sizes, accuracy(scored))]
+    train.unpersist(), test.unpersist()
+    return _table(df, rows, "model string, n_train long, n_test long, accuracy double")
+
+
+def choose_text_model(
+    df: DataFrame,
+    key: str,
+    text: str,
+    target: str,
+    stop_words: Sequence[str] | None,
+    buckets: Sequence[int] = (10_000, 100_000, 200_000),
+    smoothing: Sequence[float] = (0.5, 1.0),
+    folds: int | None = None,
+    parallelism: int = 2,
+) -> tuple[PipelineModel, DataFrame, list[str]]:
+    """The text classifier whose number of hash buckets and smoothing do best, by one split or by ``folds`` folds.
+
+    Returns the fitted pipeline, a table (buckets, smoothing, accuracy) and the class names in index order.
+    """
+    names = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep").fit(df)
+    rows = names.transform(df).select(key, text, "label")
+    stages = text_stages(text, stop_words, buckets[0])
+    hashing = next(s for s in stages if s.hasParam("numFeatures"))
+    bayes = NaiveBayes(modelType="multinomial")
+    grid = ParamGridBuilder().addGrid(hashing.numFeatures, list(buckets)).addGrid(bayes.smoothing, list(smoothing)).build()
+    judge = MulticlassClassificationEvaluator(metricName="accuracy")
+    settings = {"estimator": Pipeline(stages=[*stages, bayes]), "estimatorParamMaps": grid, "evaluator": judge, "seed": 7}
+    if folds:
+        tuned = CrossValidator(numFolds=folds, parallelism=parallelism, **settings).fit(rows)
+        found = tuned.avgMetrics
+    else:
+        tuned = TrainValidationSplit(trainRatio=0.8, parallelism=parallelism, **settings).fit(rows)
+        found = tuned.validationMetrics
+    table = [(int(g[hashing.numFeatures]), float(g[bayes.smoothing]), float(v)) for g, v in zip(grid, found)]
+    return tuned.bestModel, _table(df, table, "buckets int, smoothing double, accuracy double"), list(names.labels)
 
 
 def label_of(model: PipelineModel, texts: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -70,15 +118,27 @@ def label_of(model: PipelineModel, texts: DataFrame, labels: Sequence[str]) -> D
 
 
 def spam_report(df: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Accuracy and ROC area of binary-count naive Bayes against the majority class."""
+    """Accuracy and ROC area of binary-count naive Bayes against the majority class.
+
+    The area ranks by the log odds of class 1: one class's raw prediction is a likelihood that follows text length, and the
+    probability is 0 or 1 for all but the shortest texts.
+    """
     train, test = _parts(df, key)
-    stages = [*text_stages(text, [], 1 << 14, binary=True)[:-1], NaiveBayes(featuresCol="tf", labelCol=label, modelType="bernoulli")]
-    scored = Pipeline(stages=stages).fit(train).transform(test)
-    area = BinaryClassificationEvaluator(labelCol=label).evaluate(scored)
-    rows = [("majority", majority_accuracy(train, test, label), 0.5), ("naive_bayes", accuracy(scored, label), float(area))]
+    scored = score_spam(train, test, text, label).persist()
+    area = metrics.areas(metrics.curve(scored, label, "score")).first()["roc_auc"]
+    rows = [("majority", majority_accuracy(train, test, label), 0.5), ("naive_bayes", accuracy(scored, label), area)]
+    scored.unpersist(), train.unpersist(), test.unpersist()
     return _table(df, rows, "model string, accuracy double, auc double")
 
 
+def score_spam(train: DataFrame, test: DataFrame, text: str, label: str, buckets: int = 1 << 14) -> DataFrame:
+    """``test`` with ``prediction`` and ``score``, the log odds of class 1 by binary-count naive Bayes."""
+    stages = [*text_stages(text, [], buckets, binary=True)[:-1], NaiveBayes(featuresCol="tf", labelCol=label, modelType="bernoulli")]
+    scored = Pipeline(stages=stages).fit(train).transform(test)
+    raw = vector_to_array("rawPrediction")
+    return scored.withColumn("score", raw[1] - raw[0])
+
+
 def text_model_candidates(label: str) -> dict[str, Estimator]:
     return {
         "naive_bayes": NaiveBayes(featuresCol="tf", labelCol=label),
@@ -109,13 +169,17 @@ def compare_text_models(df: DataFrame, key: str, text: str, label: str) -> DataF
 # --- URLs --------------------------------------------------------------------------------------------
 
 
-def _url_pipeline(df: DataFrame, url: str, label: str, features: Sequence[str]) -> tuple[Pipeline, DataFrame]:
-    rows = df.withColumn("chars", X.characters(url))
+def _url_pipeline(
+    df: DataFrame, url: str, label: str, features: Sequence[str], trees: int = 100, depth: int = 5
+) -> tuple[Pipeline, DataFrame]:
+    """One-hot scheme, numbers, and character counts of host and path, each with its own vocabulary, into a forest."""
+    parts = urls.parts(url)
+    rows = df.withColumns({f"{p}_chars": F.coalesce(X.characters(parts[p]), F.array().cast("array<string>")) for p in ("netloc", "path")})
     hot = encoded_stages(["scheme"], list(features), out="basic")
-    chars = CountVectorizer(inputCol="chars", outputCol="char_counts", minDF=2)
-    join = VectorAssembler(inputCols=["basic", "char_counts"], outputCol="features")
-    forest = RandomForestClassifier(labelCol=label, numTrees=20, maxDepth=6, seed=7)
-    return Pipeline(stages=[*hot, chars, join, forest]), rows
+    counts = [CountVectorizer(inputCol=f"{p}_chars", outputCol=f"{p}_counts") for p in ("netloc", "path")]
+    join = VectorAssembler(inputCols=["basic", "netloc_counts", "path_counts"], outputCol="features")
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=7)
+    return Pipeline(stages=[*hot, *counts, join, forest]), rows
 
 
 def url_report(df: DataFrame, key: str, url: str, label: str, features: Sequence[str]) -> DataFrame:
@@ -134,14 +198,23 @@ def url_scores(df: DataFrame, key: str, url: str, label: str, features: Sequence
 # --- regression --------------------------------------------------------------------------------------
 
 
-def elastic_net_report(df: DataFrame, key: str, features: Sequence[str], label: str) -> DataFrame:
-    """One row: chosen parameters, test mae and r2, and the training summary of the best model."""
+def elastic_net_report(
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    label: str,
+    regs: Sequence[float] = (0.01, 1.0),
+    nets: Sequence[float] = (0.0, 0.5, 1.0),
+    folds: int = 5,
+    iterations: int = 100,
+) -> DataFrame:
+    """One row: chosen parameters, test mae and r2, and the training summary of the best model (by L-BFGS)."""
     train, test = _parts(df, key)
-    lr = LinearRegression(labelCol=label, maxIter=20)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 1.0]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
+    lr = LinearRegression(labelCol=label, maxIter=iterations, solver="l-bfgs")
+    grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.elasticNetParam, list(nets)).build()
     join = VectorAssembler(inputCols=list(features), outputCol="features")
     cv = CrossValidator(
-        estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=label, metricName="mae"), numFolds=3, seed=7, parallelism=2
+        estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=label, metricName="mae"), numFolds=folds, seed=7, parallelism=2
     )
     best = cv.fit(join.transform(train)).bestModel
     quality = metrics.regression(best.transform(join.transform(test)), label, "prediction").first()
@@ -157,19 +230,34 @@ def elastic_net_report(df: DataFrame, key: str, features: Sequence[str], label:
     return _table(df, [row], schema)
 
 
-def tree_regression_report(df: DataFrame, key: str, categorical: Sequence[str], numeric: Sequence[str], label: str) -> DataFrame:
-    """Test rmse and r2 of the train mean, a cross-validated random forest and boosted trees."""
+def tree_regression_report(
+    df: DataFrame,
+    key: str,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    label: str,
+    trees: int = 10,
+    depths: Sequence[int] = (5, 10),
+    rounds: Sequence[int] = (10, 20),
+    folds: int = 4,
+) -> DataFrame:
+    """Test rmse and r2 of the train mean, and of a random forest and boosted trees, both chosen by cross-validation."""
     train, test = _parts(df, key)
     front = Pipeline(stages=encoded_stages(categorical, numeric)).fit(train)
     a, b = front.transform(train).persist(), front.transform(test).persist()
-    forest = RandomForestRegressor(labelCol=label, numTrees=5, seed=7)
-    grid = ParamGridBuilder().addGrid(forest.maxDepth, [2, 4]).build()
+    forest = RandomForestRegressor(labelCol=label, numTrees=trees, seed=7)
+    boosted = GBTRegressor(labelCol=label, maxDepth=3, seed=7, checkpointInterval=10)
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
-    cv = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=evaluator, numFolds=2, seed=7, parallelism=2)
+
+    def best(model: Estimator, param, values: Sequence[int]):
+        grid = ParamGridBuilder().addGrid(param, list(values)).build()
+        cv = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=7, parallelism=2)
+        return cv.fit(a).bestModel
+
     scored = {
         "mean": b.withColumn("prediction", train.agg(F.avg(label).alias("m")).scalar()),
-        "forest": cv.fit(a).bestModel.transform(b),
-        "boosted": GBTRegressor(labelCol=label, maxIter=5, maxDepth=3, seed=7, checkpointInterval=10).fit(a).transform(b),
+        "forest": best(forest, forest.maxDepth, depths).transform(b),
+        "boosted": best(boosted, boosted.maxIter, rounds).transform(b),
     }
     rows = []
     for name, out in scored.items():
@@ -180,12 +268,26 @@ def tree_regression_report(df: DataFrame, key: str, categorical: Sequence[str],
 
 
 def grid_regression_report(
-    df: DataFrame, key: str, categorical: Sequence[str], numeric: Sequence[str], label: str, path: str
+    df: DataFrame,
+    key: str,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    label: str,
+    path: str,
+    regs: Sequence[float] = (0.001, 0.01, 0.1, 1.0, 10.0),
+    nets: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0),
 ) -> DataFrame:
-    """Validation rmse per grid point, and the test rmse of the best model after saving and loading it."""
+    """Validation rmse for each of the points (intercept or not, ``regs``, ``nets``), and the test rmse of the best model
+    after saving and loading it."""
     train, test = _parts(df, key)
     lr = LinearRegression(labelCol=label, maxIter=20)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 1.0]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    grid = (
+        ParamGridBuilder()
+        .addGrid(lr.fitIntercept, [False, True])
+        .addGrid(lr.regParam, list(regs))
+        .addGrid(lr.elasticNetParam, list(nets))
+        .build()
+    )
     tuned = TrainValidationSplit(
         estimator=Pipeline(stages=[*encoded_stages(categorical, numeric), lr]),
         estimatorParamMaps=grid,
@@ -198,8 +300,9 @@ def grid_regression_report(
     rmse = RegressionEvaluator(labelCol=label).evaluate(load_model(path).transform(test))
     rows = []
     for params, value in zip(grid, tuned.validationMetrics):
-        rows.append((float(params[lr.regParam]), float(params[lr.elasticNetParam]), float(value), float(rmse)))
-    return _table(df, rows, "reg double, elastic_net double, validation_rmse double, best_test_rmse double")
+        point = bool(params[lr.fitIntercept]), float(params[lr.regParam]), float(params[lr.elasticNetParam])
+        rows.append((*point, float(value), float(rmse)))
+    return _table(df, rows, "intercept boolean, reg double, elastic_net double, validation_rmse double, best_test_rmse double")
 
 
 def vector_regression_grid(df: DataFrame) -> DataFrame:

@@ -10,18 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
+from math import ceil, sqrt
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fits, shuffle_width, small_side
+from .ordered import row_numbers
+from .sampling import folds as folds_of
 from .sampling import split_column, take_sample
 from .windows import top_per_group
 
@@ -75,23 +76,17 @@ def _joined_pairs(ratings: DataFrame) -> DataFrame:
 
 
 def _blocked_pairs(ratings: DataFrame, block: int, group_rows: int) -> DataFrame:
-    size = ratings.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("item").alias("items")).first()
-    blocks = max(1, ceil(size["items"] / block))
-    slices = max(1, ceil(2 * size["rows"] / (blocks * group_rows)))
+    items = ratings.agg(F.count_distinct("item").alias("items")).first()["items"]
+    blocks = max(1, ceil(items / block))
     kind = dict(ratings.dtypes)["item"]
-    placed = ratings.select(
-        "user",
-        "item",
-        "rating",
-        F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("b"),
-        # Slicing by user keeps a hot item's raters in many groups; a hot user has at most
-        # `block` items in a group.
-        F.pmod(F.xxhash64("user"), F.lit(slices)).cast("int").alias("s"),
-    )
-    spread = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keyed = spread.select(
-        "user", "item", "rating", "b", "s", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj")
-    )
+    placed = ratings.select("user", "item", "rating", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("b"))
+    # A rating meets only the blocks that its user has items in.
+    reached = placed.select("user", F.col("b").alias("o")).distinct()
+    spread = placed.join(reached, "user").select("user", "item", "rating", "b", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"))
+    # A pair of blocks is cut into slices of users by its own number of rows, so a hot item's raters are many groups; a
+    # hot user has at most `block` items of each side in one.
+    slices = spread.groupBy("bi", "bj").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("slices"))
+    keyed = spread.join(small_side(slices), ["bi", "bj"]).withColumn("s", F.pmod(F.xxhash64("user"), F.col("slices")))
 
     def gram(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf.b == pdf.bi]
@@ -131,26 +126,24 @@ def _blocked_pairs(ratings: DataFrame, block: int, group_rows: int) -> DataFrame
 
 
 def item_similarity(ratings: DataFrame, digits: int | None = None, **limits: int) -> DataFrame:
-    """Cosine similarity of item pairs p1 < p2: dot over co-raters, norms over all ratings of an item."""
-    norms = ratings.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
-    sims = (
-        pair_sums(ratings, **limits)
-        .join(norms.select(F.col("item").alias("p1"), F.col("norm").alias("n1")), "p1")
-        .join(norms.select(F.col("item").alias("p2"), F.col("norm").alias("n2")), "p2")
-    )
-    sim = F.col("dot") / F.col("n1") / F.col("n2")
-    return sims.select("p1", "p2", (F.round(sim, digits) if digits else sim).alias("sim"))
+    """Cosine similarity of item pairs p1 < p2 over all ratings of an item.
+
+    Ratings are scaled to unit items first, so a pair's sum over co-raters is its similarity. Items rated 0 throughout have none.
+    """
+    length = ratings.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("length")).where("length > 0")
+    unit = ratings.join(length, "item").select("user", "item", (F.col("rating") / F.col("length")).alias("rating"))
+    close = F.col("dot")
+    return pair_sums(unit, **limits).select("p1", "p2", (F.round(close, digits) if digits else close).alias("sim"))
 
 
 def truncate(sims: DataFrame, top: int) -> DataFrame:
     """Pairs of rank <= ``top`` per p1, ties kept. Only p1's side of the upper triangle is limited.
 
-    A p1 has at most one pair per item, so no group is hot and a single pass ranks them; tasks drop what
-    cannot rank before the shuffle. The short result is written, as the prediction reads it in both directions.
+    Tasks drop what cannot rank before the shuffle; a p1 has at most one pair per item. The short result is
+    written, as the prediction reads it in both directions.
     """
-    w = Window.partitionBy("p1").orderBy(F.desc("sim"))
-    ranked = sims.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") <= top)
-    return cut_lineage(ranked.select("p1", "p2", "sim"))
+    ranked = sims.withColumn("_rank", F.rank().over(Window.partitionBy("p1").orderBy(F.desc("sim"))))
+    return cut_lineage(ranked.where(F.col("_rank") <= top).select("p1", "p2", "sim"))
 
 
 def both_ways(sims: DataFrame) -> DataFrame:
@@ -197,7 +190,7 @@ def similar_to(ratings: DataFrame, item, top: int, digits: int = 8) -> DataFrame
     )
     own_norm = squares.where(F.col("item") == item).select("norm").scalar()
     sims = dots.join(squares, "item").select(
-        "item", F.round(F.col("dot") / own_norm / F.col("norm"), digits).alias("sim")
+        "item", F.round(F.try_divide(F.col("dot"), own_norm * F.col("norm")), digits).alias("sim")
     )
     return sims.orderBy(F.desc("sim"), "item").limit(top)
 
@@ -224,7 +217,7 @@ def knn_on_sample(ratings: DataFrame, users: int, items: int, k: int, seed: int)
     rows = cut_lineage(
         ratings.join(small_side(some_users), "user", "left_semi").join(small_side(some_items), "item", "left_semi")
     )
-    sim = F.round(F.col("dot") / F.sqrt(F.col("s1") * F.col("s2")), 9)
+    sim = F.round(F.try_divide(F.col("dot"), F.sqrt(F.col("s1") * F.col("s2"))), 9)
     sims = pair_sums(rows).select("p1", "p2", sim.alias("sim"))
     near = both_ways(sims).select(F.col("p1").alias("item"), F.col("p2").alias("target"), "sim")
     pairs = rows.join(near, "item").join(
@@ -239,31 +232,74 @@ def knn_on_sample(ratings: DataFrame, users: int, items: int, k: int, seed: int)
 # --- factorisation -------------------------------------------------------------------------------
 
 
-def als_fit(train: DataFrame, rank: int = 10, reg: float = 0.1, iterations: int = 5, cold: str = "nan") -> ALSModel:
-    als = ALS(
-        userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg,
-        coldStartStrategy=cold, seed=7,
-    )
-    return als.fit(train)
+def dense_ids(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``ratings`` with users and items as ints from 0 (what the factorisation takes, at most 2**31 of each), and the tables
+    (user, user_id) and (item, item_id) that lead back."""
+    maps = []
+    for name in ("user", "item"):
+        numbered = row_numbers(ratings.select(name).where(F.col(name).isNotNull()).distinct(), [], [name], f"{name}_id")
+        maps.append(cut_lineage(numbered.withColumn(f"{name}_id", (F.col(f"{name}_id") - 1).cast("int"))))
+    return _numbered(ratings, *maps), *maps
 
 
-def als_predict(model: ALSModel, test: DataFrame, train: DataFrame) -> DataFrame:
-    """Predictions with unknown users and items at the train mean."""
-    mean = train.agg(F.avg("rating").alias("m")).scalar()
-    raw = model.transform(test)
-    known = F.when(F.isnan("prediction"), F.lit(None)).otherwise(F.col("prediction").cast("double"))
-    return raw.withColumn("prediction", F.coalesce(known, mean))
+def _numbered(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``pairs`` with user_id and item_id; -1 for what the maps do not have."""
+    out = pairs.join(users, "user", "left").join(items, "item", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("user_id", "item_id")})
 
 
-def als_choose(train: DataFrame, ranks: Sequence[int], regs: Sequence[float], folds: int = 4, parallelism: int = 2):
-    """Cross-validated choice of rank and regularisation; returns the fitted CrossValidatorModel."""
-    als = ALS(userCol="user", itemCol="item", ratingCol="rating", maxIter=5, coldStartStrategy="drop", seed=7)
-    grid = ParamGridBuilder().addGrid(als.rank, list(ranks)).addGrid(als.regParam, list(regs)).build()
-    evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
-    cv = CrossValidator(
-        estimator=als, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=7
-    )
-    return cv.fit(train)
+class Factors(NamedTuple):
+    """A fitted factorisation with its id tables and the mean rating, which unknown users and items get."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    mean: float | None
+
+
+def als_fit(train: DataFrame, rank: int = 10, reg: float = 0.1, iterations: int = 10) -> Factors:
+    """Factorisation of (user, item, rating); ids may be of any type."""
+    rows, users, items = dense_ids(train)
+    als = ALS(userCol="user_id", itemCol="item_id", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg, seed=7)
+    return Factors(als.fit(rows), users, items, train.agg(F.avg("rating")).first()[0])
+
+
+def als_predict(factors: Factors, test: DataFrame) -> DataFrame:
+    """Predictions with unknown users and items at the train mean."""
+    raw = factors.model.transform(_numbered(test, factors.users, factors.items))
+    known = F.when(F.isnan("prediction"), F.lit(None)).otherwise(F.col("prediction").cast("double"))
+    return raw.withColumn("prediction", F.coalesce(known, F.lit(factors.mean))).drop("user_id", "item_id")
+
+
+def als_choose(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[float], folds: int = 4, iterations: int = 5) -> DataFrame:
+    """(rank, reg, pairs, rmse) of each point: all pairs of each fold are scored, unknown users and items at the fold's mean."""
+    keyed = folds_of(ratings.withColumn("_k", F.concat_ws(":", "user", "item")), "_k", folds, 71).drop("_k").persist()
+    total: dict[tuple, list[float]] = {}
+    for fold in range(folds):
+        train, test = (keyed.where(c).drop("fold") for c in (F.col("fold") != fold, F.col("fold") == fold))
+        rows, users, items = dense_ids(train)
+        rows, asked = rows.persist(), _numbered(test, users, items).persist()
+        mean = F.lit(train.agg(F.avg("rating")).first()[0])
+        for rank in ranks:
+            for reg in regs:
+                als = ALS(userCol="user_id", itemCol="item_id", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg, seed=7)
+                scored = als.fit(rows).transform(asked)
+                error = F.col("rating") - F.coalesce(F.nanvl("prediction", F.lit(None)), mean)
+                found = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("e")).first()
+                sums = total.setdefault((rank, reg), [0, 0.0])
+                sums[0], sums[1] = sums[0] + found["n"], sums[1] + (found["e"] or 0.0)
+        rows.unpersist(), asked.unpersist()
+    keyed.unpersist()
+    out = [(rank, reg, n, sqrt(e / n) if n else None) for (rank, reg), (n, e) in total.items()]
+    return ratings.sparkSession.createDataFrame(out, "rank int, reg double, pairs long, rmse double")
+
+
+def als_recommend(factors: Factors, users: DataFrame, top: int) -> DataFrame:
+    """(user, pos, item, rating): the ``top`` items of the given users by the factors; users without factors get none."""
+    wanted = factors.users.join(users.select("user").distinct(), "user", "left_semi")
+    recs = factors.model.recommendForUserSubset(wanted.select("user_id"), top)
+    flat = recs.select("user_id", F.posexplode("recommendations").alias("pos", "r")).select("user_id", "pos", "r.item_id", "r.rating")
+    return flat.join(wanted, "user_id").join(factors.items, "item_id").select("user", "pos", "item", "rating")
 
 
 # --- association rules -----------------------------------------------------------------------------

@@ -7,19 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import bucket, digest, poisson_one, uniform
+from ..functions.hashing import bucket, digest, poisson, uniform
 
 
 def sample(df: DataFrame, key: str, fraction: float, seed: int, with_replacement: bool = False) -> DataFrame:
-    """Bernoulli sample; with replacement, Poisson(1) copies of the rows (``fraction`` = 1)."""
+    """Bernoulli sample; with replacement, Poisson(``fraction``) copies of the rows."""
     u = uniform(seed, key)
     if not with_replacement:
         return df.where(u < fraction)
-    if fraction != 1.0:
-        raise ValueError("sampling with replacement draws a resample of the same size (fraction=1)")
-    copies = F.sequence(F.lit(1), poisson_one(u))
+    if fraction == 0:
+        return df.where(F.lit(False)).withColumn("copy", F.lit(1))
+    drawn = poisson(u, fraction)
     # sequence(1, 0) would count down, so rows without copies are dropped first.
-    return df.where(poisson_one(u) > 0).withColumn("copy", F.explode(copies))
+    return df.where(drawn > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), drawn)))
 
 
 def take_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

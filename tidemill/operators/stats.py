@@ -17,10 +17,11 @@ from .ordered import exact_quantiles, mid_ranks, running_totals
 
 
 def with_p(stats: DataFrame, p: Callable[[dict], float], name: str = "p_value") -> DataFrame:
-    """The one-row table with a p-value worked out from its values."""
+    """The one-row table with a p-value worked out from its values; NULL where one of them is missing."""
     row = stats.first()
     out = stats.sparkSession.createDataFrame([row], stats.schema)
-    return out.withColumn(name, F.lit(float(p(row.asDict()))))
+    found = None if None in row.asDict().values() else float(p(row.asDict()))
+    return out.withColumn(name, F.lit(found).cast("double"))
 
 
 # --- intervals and sample size ---------------------------------------------------------------------
@@ -31,16 +32,19 @@ def mean_stats(df: DataFrame, value: str) -> DataFrame:
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
-        (F.stddev_samp(value) / F.sqrt(F.count(value))).alias("se"),
+        F.try_divide(F.stddev_samp(value), F.sqrt(F.count(value))).alias("se"),
     )
 
 
 def mean_interval(df: DataFrame, value: str, confidence: float = 0.95, dof: str = "n-1") -> DataFrame:
     """Student interval of the mean; ``dof="n"`` uses n instead of n - 1 degrees of freedom."""
     row = mean_stats(df, value).first()
+    schema = "n long, mean double, low double, high double"
+    if row["se"] is None:  # fewer than two values have no interval
+        return df.sparkSession.createDataFrame([(row["n"], row["mean"], None, None)], schema)
     t = S.t_quantile((1 + confidence) / 2, row["n"] if dof == "n" else row["n"] - 1)
     out = (row["n"], row["mean"], row["mean"] - t * row["se"], row["mean"] + t * row["se"])
-    return df.sparkSession.createDataFrame([out], "n long, mean double, low double, high double")
+    return df.sparkSession.createDataFrame([out], schema)
 
 
 def sample_size(df: DataFrame, value: str, error: float, z: float = 1.96) -> DataFrame:
@@ -64,13 +68,15 @@ def two_sample_stats(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
     """Pooled-variance t statistic of group ``a`` against ``b`` and its degrees of freedom."""
     one = df.agg(*[c.alias(n) for n, c in _group(df, group, value, [a, b]).items()])
     dof = F.col("n1") + F.col("n2") - 2
-    pooled = ((F.col("n1") - 1) * F.col("v1") + (F.col("n2") - 1) * F.col("v2")) / dof
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))
+    pooled = ((F.col("n1") - 1) * F.col("v1") + (F.col("n2") - 1) * F.col("v2"))
+    pooled = F.try_divide(pooled, dof)
+    spread = F.sqrt(pooled * (F.try_divide(F.lit(1), F.col("n1")) + F.try_divide(F.lit(1), F.col("n2"))))
+    t = F.try_divide(F.col("m1") - F.col("m2"), spread)
     return one.select("n1", "n2", "m1", "m2", t.alias("t"), dof.alias("dof"))
 
 
 def one_sample_stats(df: DataFrame, value: str, mean: float) -> DataFrame:
-    t = (F.avg(value) - F.lit(mean)) / (F.stddev_samp(value) / F.sqrt(F.count(value)))
+    t = F.try_divide((F.avg(value) - F.lit(mean)) * F.sqrt(F.count(value)), F.stddev_samp(value))
     return df.agg(F.count(value).alias("n"), t.alias("t"), (F.count(value) - 1).alias("dof"))
 
 
@@ -95,13 +101,13 @@ def anova_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     total = per.agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n"),
-        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
+        F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("grand"),
         F.sum(F.col("n") * F.col("v")).alias("ssw"),
     )
     grand = total.select("grand").scalar()
     between = per.agg(F.sum(F.col("n") * (F.col("m") - grand) * (F.col("m") - grand)).alias("ssb"))
     ssb = between.scalar()
-    f = (ssb / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n") - F.col("k")))
+    f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("n") - F.col("k")))
     return total.select("k", "n", f.alias("f"), (F.col("k") - 1).alias("d1"), (F.col("n") - F.col("k")).alias("d2"))
 
 
@@ -270,7 +276,7 @@ def replicate_auc(drawn: DataFrame, truth: str, score: str) -> DataFrame:
     )
     run = running_totals(per, ["replicate"], [F.col(score).desc()], {"cp": F.col("pos")})
     area = F.sum(F.col("neg") * (F.col("cp") - F.col("pos") / 2))
-    return run.groupBy("replicate").agg((area / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return run.groupBy("replicate").agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def three_sigma(scores: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -301,14 +307,14 @@ def threshold_counts(df: DataFrame, value: str) -> DataFrame:
     return df.agg(
         F.count_if(F.col(value) < 0).alias("below_zero"),
         F.count_if(F.col(value) == 0).alias("at_zero"),
-        (F.count_if(F.col(value) == top) / F.count(value)).alias("share_at_max"),
+        F.try_divide(F.count_if(F.col(value) == top), F.count(value)).alias("share_at_max"),
     )
 
 
 def z_outliers(df: DataFrame, value: str, threshold: float = 3.0) -> DataFrame:
     """Rows further than ``threshold`` population standard deviations from the mean."""
     mean, std = df.agg(F.avg(value).alias("m")).scalar(), df.agg(F.stddev_pop(value).alias("s")).scalar()
-    return df.where(F.abs((F.col(value) - mean) / std) > threshold)
+    return df.where(F.abs(F.col(value) - mean) > F.lit(threshold) * std)
 
 
 def iqr_outliers(df: DataFrame, value: str, reach: float = 1.5) -> DataFrame:

@@ -15,11 +15,11 @@ from .registry import job
 
 STOP = ["the", "and", "of", "to", "in", "is", "for", "with", "that", "this"]
 _IN = ", ".join(f"'{w}'" for w in STOP)
-_WORDS = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM documents WHERE lang = 'en'"
+_WORDS = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM documents"
 
 
-def _english(t: Tables) -> DataFrame:
-    return t.documents.where("lang = 'en'").select("doc_id", "text")
+def _texts(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "text")
 
 
 @job(
@@ -28,39 +28,40 @@ def _english(t: Tables) -> DataFrame:
 )
 def stop_words(t: Tables) -> DataFrame:
     """Tokens left after stop-word removal, counted."""
-    model = Pipeline(stages=M.text_stages("text", STOP)[:2]).fit(_english(t))
-    return X.word_count(model.transform(_english(t)), F.col("words"))
+    model = Pipeline(stages=M.text_stages("text", STOP)[:2]).fit(_texts(t))
+    return X.word_count(model.transform(_texts(t)), F.col("words"))
 
 
 @job(
     "hashing_tf",
-    f"SELECT doc_id, CAST(count(*) AS DOUBLE) AS total FROM ({_WORDS}) WHERE word NOT IN ({_IN}) GROUP BY 1",
+    f"""SELECT doc_id, CAST(count(word) AS DOUBLE) AS total FROM documents
+    LEFT JOIN (SELECT * FROM ({_WORDS}) WHERE word NOT IN ({_IN})) USING (doc_id) GROUP BY 1""",
 )
 def hashing_tf(t: Tables) -> DataFrame:
     """Hashed counts; buckets differ by hash function, so each row's total is compared."""
     stages = M.text_stages("text", STOP)[:3]
-    done = Pipeline(stages=stages).fit(_english(t)).transform(_english(t))
+    done = Pipeline(stages=stages).fit(_texts(t)).transform(_texts(t))
     counts = F.unwrap_udt("tf").getField("values")  # the entries of the sparse vector
     total = F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x)
-    return done.select("doc_id", total.alias("total")).where("total > 0")
+    return done.select("doc_id", total.alias("total"))
 
 
 @job(
     "tfidf_sql",
     f"""WITH w AS ({_WORDS}), tf AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
-    d AS (SELECT word, count(*) AS df FROM tf GROUP BY 1), n AS (SELECT count(*) AS n FROM documents WHERE lang = 'en')
+    d AS (SELECT word, count(*) AS df FROM tf GROUP BY 1), n AS (SELECT count(*) AS n FROM documents)
     SELECT doc_id, word, tf, round(tf * ln((n + 1) / (df + 1)), 6) AS tfidf FROM tf JOIN d USING (word), n""",
 )
 def tfidf_sql(t: Tables) -> DataFrame:
     """Exact-vocabulary TF-IDF."""
-    out = M.tf_idf(_english(t), "doc_id", X.letter_tokens("text"))
+    out = M.tf_idf(_texts(t), "doc_id", X.letter_tokens("text"))
     return out.withColumn("tfidf", F.round("tfidf", 6))
 
 
 @job("tfidf_hashed")
 def tfidf_hashed(t: Tables) -> DataFrame:
     """Hashed TF-IDF vectors by the pipeline stages (non-zero entries and norm per document)."""
-    done = Pipeline(stages=M.text_stages("text", STOP)).fit(_english(t)).transform(_english(t))
+    done = Pipeline(stages=M.text_stages("text", STOP)).fit(_texts(t)).transform(_texts(t))
     arr = F.unwrap_udt("features").getField("values")  # the entries of the sparse vector
     used = F.size(F.filter(arr, lambda x: x != 0))
     norm = F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x))
@@ -83,13 +84,13 @@ def char_counts(t: Tables) -> DataFrame:
 
 @job(
     "ngrams",
-    f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z'']+') AS w FROM documents WHERE lang = 'en'),
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z'']+') AS w FROM documents),
     g AS (SELECT w[i] || ' ' || w[i + 1] AS gram FROM (SELECT w, unnest(range(1, len(w))) AS i FROM w))
     SELECT gram, count(*) AS cnt FROM g GROUP BY 1""",
 )
 def ngrams(t: Tables) -> DataFrame:
     """Bigram counts."""
-    rows = _english(t).select(X.letter_tokens("text").alias("tokens"))
+    rows = _texts(t).select(X.letter_tokens("text").alias("tokens"))
     return X.word_count(rows, X.bigrams(F.col("tokens")), "gram")
 
 

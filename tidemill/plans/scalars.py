@@ -41,12 +41,12 @@ def split_explode(t: Tables) -> DataFrame:
 
 @job(
     "regex_tokens",
-    """SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM documents
-    WHERE lang = 'en') GROUP BY 1""",
+    """SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM documents)
+    GROUP BY 1""",
 )
 def regex_tokens(t: Tables) -> DataFrame:
     """Letters-and-apostrophe tokens."""
-    return X.word_count(t.documents.where("lang = 'en'"), X.letter_tokens("text"))
+    return X.word_count(t.documents, X.letter_tokens("text"))
 
 
 @job(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,17 +51,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
+    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session, where driver and executors are one machine, may fall back to a
-    temporary folder; a cluster without the setting is an error rather than a silent data loss.
+    Only a session whose driver is its one executor may go without the setting and use a temporary folder;
+    elsewhere that would lose data, and is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^-\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tidemill-")
     spark.sparkContext.setCheckpointDir(configured)

@@ -7,17 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_pairs(df: DataFrame, path: str, *columns: str, files: int | None = 1, sep: str = "\t") -> None:
-    """Text lines of the columns joined by ``sep``. ``files=1`` gives one file for small reports;
-    pass None to keep the parallelism of a large result."""
+def write_pairs(df: DataFrame, path: str, *columns: str, files: int | None = None, sep: str = "\t") -> None:
+    """Text lines of the columns joined by ``sep``, in as many files as the result has parts.
+
+    ``files=1`` gives one file for a small report; only the finished lines are gathered for it."""
     line = df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]).alias("value"))
-    (line.coalesce(files) if files else line).write.mode("overwrite").text(path)
+    (line.repartition(files) if files else line).write.mode("overwrite").text(path)
 
 
 def write_csv(
     df: DataFrame, path: str, header: bool = True, null_value: str | None = None, files: int | None = None
 ) -> None:
-    writer = (df.coalesce(files) if files else df).write.mode("overwrite").option("header", header)
+    writer = (df.repartition(files) if files else df).write.mode("overwrite").option("header", header)
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
