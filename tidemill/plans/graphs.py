@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
+from ..session import cut_lineage
 from ..sources.tables import Tables
 from .registry import job
 
@@ -64,7 +65,7 @@ def triplets(t: Tables) -> DataFrame:
 )
 def degrees(t: Tables) -> DataFrame:
     """In- and out-degree joined on the vertex."""
-    e = _edges(t)
+    e = cut_lineage(_edges(t))
     return G.degrees(e, "dst", "in_degree").join(G.degrees(e, "src", "out_degree"), "id")
 
 
@@ -98,7 +99,7 @@ def pagerank_raw(t: Tables) -> DataFrame:
 )
 def pagerank_top(t: Tables) -> DataFrame:
     """Rescaled ranks joined with both degrees, greatest first."""
-    e = _edges(t)
+    e = cut_lineage(_edges(t))
     ranks = G.pagerank(_vertices(t), e, 0.1, 5)
     both = ranks.join(G.degrees(e, "dst", "in_degree"), "id").join(G.degrees(e, "src", "out_degree"), "id")
     return both.withColumn("pagerank", F.round("pagerank", 6)).orderBy(F.desc("pagerank"), "id").limit(20)
@@ -117,9 +118,11 @@ def motif_two_hop(t: Tables) -> DataFrame:
 
 @job(
     "bfs_paths",
-    f"""WITH {GRAPH}, d AS (SELECT DISTINCT src, dst FROM e) SELECT x.src || '>' || x.dst || '>' || y.dst || '>' || z.dst AS path, 3 AS length FROM d x
-    JOIN d y ON x.dst = y.src JOIN d z ON y.dst = z.src JOIN v ON v.id = z.dst
-    WHERE x.src = 'S0' AND v.id LIKE 'S%' AND v.nation = 7 AND z.dst <> 'S0'""",
+    f"""WITH {GRAPH}, d AS MATERIALIZED (SELECT DISTINCT src, dst FROM e),
+    goal AS MATERIALIZED (SELECT id FROM v WHERE id LIKE 'S%' AND nation = 7 AND id <> 'S0'),
+    hop1 AS MATERIALIZED (SELECT dst AS a FROM d WHERE src = 'S0'),
+    hop2 AS MATERIALIZED (SELECT a, dst AS b FROM hop1 JOIN d ON src = a)
+    SELECT 'S0>' || a || '>' || b || '>' || dst AS path, 3 AS length FROM hop2 JOIN d ON src = b WHERE dst IN (SELECT id FROM goal)""",
 )
 def bfs_paths(t: Tables) -> DataFrame:
     """All shortest paths from one supplier to the suppliers of a nation."""
