@@ -58,6 +58,9 @@ class Pieces:
         #: Places that no piece reaches over.
         self.seams = re.compile(f"(?<=[^{SPACE}])(?={SPACE})|(?=\n)|(?<=\n)") if apart else re.compile(r"(?!)")
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.numbers: dict[int, bool] = {}  # the same by ids, for whole units
+        self.piece_of = {i: p for p, i in self.ids.items()}
+        self.raw = [np.array([i], dtype="<u4").tobytes() for i in range(size)]
         self.known: dict[str, bytes] = {}
 
     def normal(self, text: str) -> str:
@@ -126,12 +129,40 @@ class Pieces:
             at = back[at - start]
         return b"".join(reversed(out))
 
+    def unit(self, text: str) -> bytes:
+        """Ids of one unit. For BPE the only path: each place has one piece that may end there, whatever follows."""
+        if self.unigram:
+            return self.trace(text, 0, len(text), "")
+        ids, numbers, longest = self.ids, self.numbers, self.longest
+        last, back = [-1], [0]  # -1: nothing, or a character that the vocabulary does not have
+        for stop in range(1, len(text) + 1):
+            for at in range(max(0, stop - longest), stop):
+                piece = ids.get(text[at:stop], -1)
+                if piece < 0:
+                    if stop - at > 1:
+                        continue
+                    break
+                pair = (last[at] + 1) << 24 | piece
+                good = numbers.get(pair)
+                if good is None:
+                    good = self._compatible(self.piece_of.get(last[at], ""), self.piece_of[piece])
+                    capped(numbers, CACHE_PAIRS)[pair] = good
+                if good:
+                    break
+            last.append(piece)
+            back.append(at)
+        out, at = [], len(text)
+        while at:
+            out.append(self.raw[last[at]] if last[at] >= 0 else self.ids_of(text[back[at] : at]))
+            at = back[at]
+        return b"".join(reversed(out))
+
     def between(self, text: str) -> bytes:
         """Ids of a text that begins and ends at places which no piece reaches over."""
         units = self.units.findall(text)
         known, fresh = capped(self.known, CACHE), {}
         for unit in set(units).difference(known):
-            (known if len(unit) <= LONG else fresh)[unit] = self.trace(unit, 0, len(unit), "")
+            (known if len(unit) <= LONG else fresh)[unit] = self.unit(unit)
         if not fresh:
             return b"".join(map(known.__getitem__, units))
         return b"".join([known.get(u) or fresh[u] for u in units])
