@@ -17,6 +17,17 @@ BLOCK = 1 << 20
 _CUT = re.compile(rb"[^" + SPACE + rb"](?=[" + SPACE + rb"])")
 
 
+#: Rows of an Arrow batch where the session has Spark's own setting, which is for rows much smaller than texts.
+BATCH_ROWS = 2_500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows, unless the session has a smaller or an own number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The bytes of a vocabulary file (a few MB, whatever the data), read once on the driver."""
     with open(path, "rb") as f:
@@ -25,14 +36,17 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id as long and text, whatever other columns there are."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def rows(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int | None, bytes | None]]:
-    """(doc_id, UTF-8 bytes) of each row; one text at a time leaves Arrow's buffers."""
+def rows(batch: pa.RecordBatch, by_id: bool = False) -> Iterator[tuple[int | None, bytes | None]]:
+    """(doc_id, UTF-8 bytes) of each row, with ``by_id`` in the order of doc_id (null last); one text at a time leaves
+    Arrow's buffers."""
     ids = batch.column("doc_id").to_pylist()
-    for doc_id, value in zip(ids, batch.column(text).cast(pa.large_binary())):
-        yield doc_id, value.as_py()
+    texts = batch.column("text").cast(pa.large_binary())
+    for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i])) if by_id else range(len(ids)):
+        yield ids[i], texts[i].as_py()
 
 
 def blocks(data: bytes, size: int = BLOCK) -> Iterator[bytes]:

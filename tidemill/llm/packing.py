@@ -30,7 +30,7 @@ PIECES = (
 ARROW = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 #: Sequence ids are partition << SHIFT | number within the partition.
 SHIFT = 36
-CACHE_WORDS = 800_000
+CACHE_WORDS = 250_000
 
 
 class WordIds:
