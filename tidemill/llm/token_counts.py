@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from .common import SPACE, blocks, capped, id_and_text, rows, vocabulary
 #: Fixed value: the pattern by which this kind of vocabulary splits a text before its merges.
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of each cache of a worker, and bytes of the longest pre-token that is kept in one.
-CACHE, CACHE_PAIRS, LONG = 250_000, 1_000_000, 64
+CACHE, CACHE_PAIRS, LONG = 500_000, 500_000, 64
 #: A word with the one space before it, or white space without the last of a run that a word follows.
 _UNITS = re.compile(rb" ?[^" + SPACE + rb"]+|[" + SPACE + rb"]+(?![^" + SPACE + rb"])|[" + SPACE + rb"]+")
 #: White space beyond ASCII (fixed values): texts with it are split by the full pattern.
@@ -157,6 +158,12 @@ class PrefixTable:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def prefix_table(definition: bytes) -> PrefixTable:
+    """One object for each vocabulary in a worker, whose tasks go on with the units that earlier ones have met."""
+    return PrefixTable(definition)
+
+
 def count_at(changes: bytes, n_bytes: int) -> int:
     """Tokens of the first ``n_bytes`` bytes."""
     return int(np.frombuffer(changes, dtype=np.int8)[:n_bytes].sum(dtype=np.int64))
@@ -185,7 +192,7 @@ def prefix_counts(docs: DataFrame, vocabulary_path: str, budget: int = 1024, tab
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixTable(source.value)
+        counter = prefix_table(source.value)
         for batch in batches:
             out, held = [], 0
             for doc_id, data in rows(batch):
