@@ -36,6 +36,24 @@ SPACE = "▁"
 State = tuple[int, int]  # characters of the piece before the cut, and after it
 
 
+def _signs(pieces: dict[str, int]) -> set[str]:
+    """Punctuation, and what goes with it, that no piece has next to any other character but a space."""
+    group: dict[str, str] = {}  # characters that pieces have next to each other, by union-find
+
+    def root(c: str) -> str:
+        while group.setdefault(c, c) != c:
+            c = group[c]
+        return c
+
+    for piece in pieces:
+        bare = piece.lstrip(SPACE)
+        for a, b in zip(bare, bare[1:]):
+            group[root(a)] = root(b)
+    main = root("e")
+    apart = {root(c) for c in "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"} - {main}
+    return {c for c in list(group) if root(c) in apart}
+
+
 class Pieces:
     """Best paths by one SentencePiece model (BPE, or unigram with ``unigram=True``)."""
 
@@ -54,7 +72,9 @@ class Pieces:
         self.penalty = min(self.score.values()) - 10.0
         joined = "\n".join(p for p in self.ids if len(p) > 1)
         apart = not re.search(f"[^{SPACE}\n]{SPACE}", joined) and not any("\n" in p for p in self.ids if len(p) > 1)
-        self.units = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n") if apart else re.compile(r"[\s\S]+")
+        signs = "".join(map(re.escape, sorted(_signs(self.ids) - {"\n"})))
+        words = f"{SPACE}*[^{SPACE}\n{signs}]+" + (f"|{SPACE}*[{signs}]+" if signs else "")
+        self.units = re.compile(f"{words}|{SPACE}+|\n") if apart else re.compile(r"[\s\S]+")
         #: Places that no piece reaches over.
         self.seams = re.compile(f"(?<=[^{SPACE}])(?={SPACE})|(?=\n)|(?<=\n)") if apart else re.compile(r"(?!)")
         self.pairs: dict[tuple[str, str], bool] = {}
