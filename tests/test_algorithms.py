@@ -182,3 +182,32 @@ def test_density_clusters(spark, budget):
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "id long, x double, y double")
     got = {r["id"]: r["cluster"] for r in N.density_clusters(df, eps, least, budget=budget).collect()}
     assert got == {i: int(c) for i, c in enumerate(want)}
+
+
+def test_recommendations_of_every_user(spark):
+    """Query ``als_recommend_all`` against all products of the fitted factors."""
+    from tidemill.plans import recommend as P
+    from tidemill.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    ratings = P._ratings(t)
+    factors = P.C.als_fit(ratings, rank=10, reg=0.1, iterations=10)
+    sides = []
+    for ids, rows, key in ((factors.users, factors.model.userFactors, "user"), (factors.items, factors.model.itemFactors, "item")):
+        names = {r[f"{key}_id"]: r[key] for r in ids.collect()}
+        sides.append({names[r.id]: np.array(r.features) for r in rows.collect()})
+    items = list(sides[1])
+    table = np.array([sides[1][i] for i in items])
+    scores = {u: dict(zip(items, (table @ v).tolist())) for u, v in sides[0].items()}
+    out = P.als_recommend_all(t)
+    assert out.columns == ["user", "pos", "item", "rating"]
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.user, []).append((r.pos, r.item, r.rating))
+    assert set(found) == set(scores) == {r.user for r in ratings.select("user").distinct().collect()}
+    for u, rows in found.items():
+        rows.sort()
+        best = sorted(scores[u].values(), reverse=True)[:5]
+        assert [p for p, _, _ in rows] == list(range(len(best))) and len({i for _, i, _ in rows}) == len(best)
+        assert [x for _, _, x in rows] == pytest.approx(best, abs=1e-3)
+        assert [x for _, _, x in rows] == pytest.approx([scores[u][i] for _, i, _ in rows], abs=1e-3)

@@ -236,11 +236,19 @@ def als_rmse(t: Tables) -> DataFrame:
 @job("als_recommend", f"""WITH {RATINGS} SELECT "user", CAST(unnest(range(least(5, (SELECT count(DISTINCT item) FROM ratings)))) AS INT) AS pos
     FROM (SELECT DISTINCT "user" FROM ratings WHERE "user" % 10 = 0)""")
 def als_recommend(t: Tables) -> DataFrame:
-    """Top five items, by the factors, of a table of users: those whose key ends in 0. Ranks of each are compared."""
+    """Ranks of the top five items of the users whose key ends in 0, which is what the SQL twin can compare; all users, with
+    items and ratings, are in ``als_recommend_all``."""
     factors = C.als_fit(_ratings(t), rank=10, reg=0.1, iterations=10)
     return C.als_recommend(factors, _ratings(t).where("user % 10 = 0"), 5).select("user", "pos")
 
 
+@job("als_recommend_all")
+def als_recommend_all(t: Tables) -> DataFrame:
+    """Top five items of every user, with the rating by the factors; users x items are scored in blocks."""
+    ratings = _ratings(t)
+    return C.als_recommend(C.als_fit(ratings, rank=10, reg=0.1, iterations=10), ratings, 5)
+
+
 @job("als_grid")
 def als_grid(t: Tables) -> DataFrame:
     """Cross-validated error of each (rank, regularisation) point."""
