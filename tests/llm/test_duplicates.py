@@ -269,3 +269,66 @@ def test_without_repeats(spark):
             assert out[i].text == (keep + data[at:]).decode()
     odd = table(spark, [(None, "x"), (1, None), (2, "")])
     assert sorted(((r.doc_id, r.text) for r in S.without_repeats(odd).collect()), key=repr) == [(1, None), (2, ""), (None, "x")]
+
+
+def windows_held_before(rows, size=S.MIN_BYTES):
+    """(doc_id, set of bytes) in windows of ``size`` bytes that a document of smaller doc_id holds, one by one."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        data = t.encode()
+        for a in range(len(data) - size + 1):
+            if first.setdefault(data[a : a + size], i) != i:
+                out.setdefault(i, set()).update(range(a, a + size))
+    return out
+
+
+def whole_rows():
+    """Passages of 51 words in two contexts each, those of few different words, and ones whose parts have other first holders."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        words = [rng.choice(WORDS) for _ in range(51)]
+        words = [["ha"] * 51, ["a"] * 51, ["yes", "no"] * 26, ["x"] * 30 + words[:21]][k] if k < 4 else [w[:1] for w in words] if k < 8 else words
+        shared = " ".join(words)
+        if k % 5 == 4:  # most of it, without either end, is held by a document before them
+            rows.append((3 * k, prose(rng, 20) + shared[10:-10][:90] + prose(rng, 20)))
+        rows += [(3 * k + j, prose(rng, rng.randint(0, 30)) + " " + shared + " " + prose(rng, rng.randint(0, 30))) for j in (1, 2)]
+    line = prose(rng, 40)[:85]
+    rows += [(500 + i, prose(rng, 30) + line + prose(rng, 30)) for i in range(10)]  # shared, but too short
+    return rows + [(600, "zz " + "ab " * 3000), (601, "ab " * 2000), (602, "é" * 5000), (603, "è" + "é" * 500), (604, "b" * 95), (605, "b" * 95)]
+
+
+@pytest.mark.parametrize("batch", [2500, 40])
+def test_whole_passages(spark, batch):
+    rows, setting = whole_rows(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(batch))
+    try:
+        odd = [(700, None), (701, ""), (None, rows[0][1]), rows[5]]
+        got = S.whole_passages(table(spark, rows + odd)).collect()
+        found = {}
+        for r in got:
+            assert r.length >= S.MIN_BYTES
+            found.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+        want = windows_held_before(rows)
+        assert set(want) >= {3 * k + 2 for k in range(60)} and not set(want) & set(range(500, 510))
+        assert found == want
+        assert S.whole_passages(table(spark, [])).collect() == []
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_every_window_holds_a_seed():
+    rng = random.Random(8)
+    for text in [prose(rng, 300), "ha " * 200, "a" * 500, "yes no " * 90, "".join(rng.choice("ab") for _ in range(900))]:
+        data = text.encode()
+        at, digest = S.seeds(data)
+        of = {}
+        for a, d in zip(at.tolist(), digest.tolist()):
+            of.setdefault(a, d)
+        every = S._hash(data, S.SEED)[-1].view("int64").tolist()
+        for a in range(len(data) - S.MIN_BYTES + 1):
+            inside = range(a, a + S.MIN_BYTES - S.SEED + 1)
+            least = min(inside, key=lambda i: every[i] % 2**64)
+            assert every[least] in {of[i] for i in inside if i in of}
+        assert len(at) < len(data) / 8

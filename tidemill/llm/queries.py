@@ -85,8 +85,8 @@ def op3_quality_classifier(t: Tables) -> DataFrame:
 
 @job
 def op5_substring_dedup(t: Tables) -> DataFrame:
-    """Passages of documents that occurred before, by content-defined chunks."""
-    return substring_dedup.repeated_passages(t.documents).select("doc_id", "start", "length")
+    """Passages of documents that occurred before."""
+    return substring_dedup.whole_passages(t.documents).select("doc_id", "start", "length")
 
 
 @job

@@ -8,6 +8,12 @@ repeat if a document of smaller doc_id holds its digest. Repeated chunks that fo
 
 Chunks are compared in a sorted stream by digest. Repeats within one Arrow batch are known beforehand and do not go to
 the digest's task, so a passage that a third of all documents share adds one row for each batch there.
+
+Chunk runs do not see a passage up to its first cut and from its last one on. ``whole_passages`` has no such gaps. Its seeds are
+windows of ``SEED`` bytes whose hash is the least in some ``min_bytes`` bytes around them (winnowing), so any two texts that share
+``min_bytes`` bytes share a seed there, whatever comes before or after. Seeds that an earlier document holds make runs. Around either
+end of a run, and at the places of the same seeds in other documents, every window of ``min_bytes`` is then compared as well: this
+finds where the passage begins and ends, and drops runs that are too short.
 """
 
 from __future__ import annotations
@@ -27,12 +33,17 @@ WINDOW = 16
 #: One byte in 2**CUT_BITS ends a chunk; a chunk of MOST_BYTES (at most 1024) is ended there.
 CUT_BITS = 5
 MOST_BYTES = 128
-#: Bytes of a repeated passage at the least. A passage of 50 words, of which up to a chunk on either side is not seen, has more.
+#: Bytes of a repeated passage at the least, which any passage of over 50 words has. A run of whole chunks can be shorter than the
+#: passage by more than that leaves, so chunk runs miss some; ``whole_passages`` misses none.
 MIN_BYTES = 96
+#: Bytes of a seed.
+SEED = 64
 #: Chunks that are compared within a worker at a time.
 HELD = 400_000
 #: The value that each byte adds, from one rule.
 GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=97) & 0xFFFF for b in range(256)], dtype=np.uint16)
+_BYTE = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=98) for b in range(256)], dtype=np.uint64)
+_ODD = [np.uint64(xxhash.xxh3_64_intdigest(bytes([b]), seed=99) | 1) for b in range(16)]
 
 
 def cuts(data: bytes) -> np.ndarray:
@@ -56,26 +67,40 @@ def cuts(data: bytes) -> np.ndarray:
     return ends
 
 
+def _version(data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data) >> 33
+
+
 def _place(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Start and length (1 to 1024) in one number that sorts as the start; the lowest bit is for a known repeat."""
+    """Start and length (1 to 1024) in one number that sorts as the start; the lowest bit is for a known repeat
+    and bit 11 for a row that has repeats."""
     return (start << 12) | ((length - 1) << 1)
 
 
 CHUNKS = "digest long, doc long, version long, place long"
+#: Set in the place of a row whose digest a later document is known to have.
+_SHARED = 1 << 11
+
+
+def _marked(d: np.ndarray, docs: np.ndarray, versions: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    """Rows of a batch, with what is known from them alone: repeats, and first rows that have repeats."""
+    order = np.lexsort((p, versions, docs, d))
+    d_in, doc_in = d[order], docs[order]
+    new = np.append(True, d_in[1:] != d_in[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
+    again_in = doc_in != doc_in[first]
+    group = np.cumsum(new) - 1
+    shared = np.bincount(group, again_in)[group] > 0
+    again = np.zeros(len(d), dtype=np.int64)
+    again[order] = np.where(again_in, 1, np.where(shared, _SHARED, 0))
+    return pa.record_batch([pa.array(x) for x in (d, docs, versions, p | again)], names=["digest", "doc", "version", "place"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush(digest: list, doc: list, version: list, place: list) -> pa.RecordBatch:
         d, p = np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64), np.concatenate(place)
         sizes = [len(x) for x in place]
-        docs, versions = (np.repeat(np.array(x, dtype=np.int64), sizes) for x in (doc, version))
-        order = np.lexsort((p, versions, docs, d))
-        d_in, doc_in = d[order], docs[order]
-        new = np.append(True, d_in[1:] != d_in[:-1])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
-        again = np.zeros(len(d), dtype=np.int64)
-        again[order] = doc_in != doc_in[first]
-        return pa.record_batch([pa.array(x) for x in (d, docs, versions, p | again)], names=["digest", "doc", "version", "place"])
+        return _marked(d, *(np.repeat(np.array(x, dtype=np.int64), sizes) for x in (doc, version)), p)
 
     digest_of = xxhash.xxh3_64_digest
     for batch in batches:
@@ -83,7 +108,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, data in rows(batch):
             if doc is None or not data:
                 continue
-            version = xxhash.xxh3_64_intdigest(data) >> 33
+            version = _version(data)
             ends = cuts(data).astype(np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             kept[0].extend([digest_of(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
@@ -111,7 +136,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeat = ((place & 1) == 1) | (doc != origin)
         last, first = digest[-1], origin[-1]
         yield pa.record_batch(
-            [pa.array(a[repeat]) for a in (doc, version, place >> 1 << 1)], names=["doc", "version", "place"]
+            [pa.array(a[repeat]) for a in (doc, version, place & ~(_SHARED | 1))], names=["doc", "version", "place"]
         )
 
 
@@ -133,17 +158,17 @@ def _runs(min_bytes: int):
                 continue
             doc, version, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             start, end = place >> 12, (place >> 12) + ((place >> 1) & 1023) + 1
-            new = np.ones(len(doc), dtype=bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] > end[:-1])
+            other = np.append(False, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
+            text = np.cumsum(other) << 44  # ends go up within a text
+            end = np.maximum.accumulate(text | end) - text
+            new = other | np.append(True, start[1:] > end[:-1])
             begins = np.flatnonzero(new)
             ends = np.append(begins[1:], len(doc)) - 1
             found = list(zip(doc[begins].tolist(), version[begins].tolist(), start[begins].tolist(), end[ends].tolist()))
             if open_run is not None:
-                head = found[0]
-                if head[:2] == open_run[:2] and head[2] <= open_run[3]:
-                    found[0] = (*open_run[:3], max(head[3], open_run[3]))
-                else:
-                    found.insert(0, open_run)
+                found.insert(0, open_run)
+                while len(found) > 1 and found[1][:2] == found[0][:2] and found[1][2] <= found[0][3]:
+                    found[:2] = [(*found[0][:3], max(found[0][3], found[1][3]))]
             open_run = found.pop()
             yield rows_of(found)
         if open_run is not None:
@@ -167,6 +192,169 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return again.repartition("doc").sortWithinPartitions(*order).mapInArrow(_runs(min_bytes), SPANS)
 
 
+def _hash(data: bytes, size: int) -> list[np.ndarray]:
+    """Hashes of all windows of 1, 2, 4, ... up to ``size`` bytes."""
+    out = [_BYTE[np.frombuffer(data, dtype=np.uint8)]]
+    while (width := 1 << len(out) - 1) < size:
+        x = out[-1][:-width] * _ODD[len(out)] + out[-1][width:]
+        out.append(x ^ (x >> np.uint64(29)))
+    return out
+
+
+def _least(h: np.ndarray, size: int, of=np.minimum) -> np.ndarray:
+    """The least (by ``of``) of every ``size`` values that follow each other."""
+    width = 1
+    while 2 * width <= size:
+        h = of(h[:-width], h[width:])
+        width *= 2
+    return of(h[: len(h) - (size - width)], h[size - width :]) if size > width else h
+
+
+def seeds(data: bytes, min_bytes: int = MIN_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of seeds: each ``min_bytes`` bytes of ``data`` hold a seed with the least hash of all their windows.
+
+    Where a hash is the least at several places, as in a text that repeats a word, the first and the last in every block of
+    places do, as no block is longer than what is to hold one.
+    """
+    if len(data) < min_bytes:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    h, across = _hash(data, SEED)[-1], min_bytes - SEED + 1
+    low = np.zeros(across - 1, dtype=np.uint64)
+    least = np.concatenate([low, _least(h, across), low])
+    at = np.flatnonzero(_least(least, across, np.maximum) == h)
+    found = h[at]
+    edge = np.append(True, (found[1:] != found[:-1]) | (at[1:] // across != at[:-1] // across))
+    keep = edge | np.append(edge[1:], True)
+    return at[keep], found[keep].view(np.int64)
+
+
+def _windows_at(data: bytes, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size`` bytes (``SEED`` to twice as many) at each of ``places``."""
+    h = _hash(data, SEED)[-1]
+    x = h[places] * _ODD[0] + h[places + size - SEED]
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def _marked_batches(found: Iterator[tuple], length: int) -> Iterator[pa.RecordBatch]:
+    """From (doc, version, starts, hashes) of texts: rows of many texts at a time."""
+    held, kept = 0, []
+
+    def flush() -> pa.RecordBatch:
+        sizes = [len(x[2]) for x in kept]
+        docs, versions = (np.repeat(np.array([x[k] for x in kept], dtype=np.int64), sizes) for k in (0, 1))
+        place = _place(np.concatenate([x[2] for x in kept]), length)
+        return _marked(np.concatenate([x[3] for x in kept]), docs, versions, place)
+
+    for row in found:
+        if len(row[2]):
+            kept.append(row)
+            held += len(row[2])
+        if held > HELD:
+            yield flush()
+            held, kept = 0, []
+    if held:
+        yield flush()
+
+
+SHARED = "digest long, doc long, version long, place long, repeat boolean"
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (digest, doc, version, place): those whose digest several documents have, and whether one before theirs has.
+
+    Rows of a digest's first document wait until a second one is met; those of one digest and document are kept at most.
+    """
+    names = ["digest", "doc", "version", "place"]
+    wait = None  # rows of the first document of the digest that the last batch ended in
+    last, first, met = None, None, False  # that digest, its first document, and whether a second one was met
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        if wait is not None:
+            columns = [np.concatenate([a, b]) for a, b in zip(wait, columns)]
+        digest, doc, version, place = columns
+        goes_on = wait is None and last is not None and digest[0] == last
+        new = np.append(not goes_on, digest[1:] != digest[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
+        origin = np.where(at < 0, 0 if first is None else first, doc[np.maximum(at, 0)])
+        repeat = ((place & 1) == 1) | (doc != origin)
+        group = np.cumsum(new)
+        shared = np.bincount(group, repeat | (place & _SHARED > 0))[group] > 0
+        if goes_on and met:
+            shared |= group == 0
+        tail = group == group[-1]
+        last, first, met = digest[-1], origin[-1], bool(shared[-1])
+        wait = None if met else [c[tail].copy() for c in columns]
+        if shared.any():
+            values = [digest, doc, version, place & ~(_SHARED | 1), repeat]
+            yield pa.record_batch([pa.array(a[shared]) for a in values], names=[*names, "repeat"])
+
+
+def _edges(across: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by (doc, version, place): adds which repeats are less than ``across`` bytes from the first or the last of
+        their run (the part of a run that is in a batch counts as one, so some more may be named)."""
+        for batch in batches:
+            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "version", "place", "repeat")]
+            doc, version, place = (c[columns[3]] for c in columns[:3])
+            edge = np.zeros(batch.num_rows, dtype=bool)
+            if len(doc):
+                start = place >> 12
+                new = np.append(True, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] > start[:-1] + SEED))
+                run, begins = np.cumsum(new) - 1, np.flatnonzero(new)
+                ends = np.append(begins[1:], len(doc)) - 1
+                edge[columns[3]] = (start - start[begins][run] < across) | (start[ends][run] - start < across)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edge)], names=[*batch.schema.names, "edge"])
+
+    return run
+
+
+def whole_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """As ``repeated_passages``, but every passage of ``min_bytes`` bytes or more that an earlier document holds is found, from its
+    first byte to its last.
+
+    A run of seeds that earlier documents hold apart from each other counts as one passage if it is long enough.
+    """
+    if not SEED <= min_bytes <= 2 * SEED:
+        raise ValueError(f"min_bytes: {SEED} to {2 * SEED}")
+
+    def seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ((i, data) for i, data in rows(batch) if i is not None and data)
+            yield from _marked_batches(((i, _version(data), *seeds(data, min_bytes)) for i, data in texts), SEED)
+
+    def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for (i, data), asked in zip(rows(batch), batch.column("asked")):
+                version = _version(data) if data else None
+                own = np.array([x["start"] for x in asked.as_py() if x["version"] == version], dtype=np.int64)
+                if len(own):
+                    some = np.unique(own[:, None] - np.arange(min_bytes - SEED + 1))
+                    some = some[(some >= 0) & (some <= len(data) - min_bytes)]
+                    yield i, version, some, _windows_at(data, some, min_bytes)
+
+        for batch in batches:
+            yield from _marked_batches(found(batch), min_bytes)
+
+    def dealt(table: DataFrame) -> DataFrame:
+        known = F.when(F.col("place") % 2 == 1, F.xxhash64("doc", "place")).otherwise(F.col("digest"))
+        return table.repartition(known).sortWithinPartitions("digest", "doc", "version", "place")
+
+    order, texts = ["doc", "version", "place"], id_and_text(docs)
+    shared = dealt(texts.mapInArrow(seed_rows, CHUNKS)).mapInArrow(_shared, SHARED).repartition("doc").sortWithinPartitions(*order)
+    shared = cut_lineage(shared.mapInArrow(_edges(min_bytes - SEED + 1), SHARED + ", edge boolean"))
+    ends = small_side(shared.where("edge").select("digest").distinct())
+    asked = shared.join(ends, "digest", "left_semi").groupBy(F.col("doc").alias("_id")).agg(
+        F.collect_set(F.struct("version", F.shiftright("place", 12).alias("start"))).alias("asked")
+    )
+    asked = small_side(cut_lineage(asked), 20_000)
+    windows = texts.join(asked, F.col("doc_id") == F.col("_id")).drop("_id").mapInArrow(window_rows, CHUNKS)
+    again = dealt(windows).mapInArrow(_repeats, "doc long, version long, place long")
+    both = shared.where("repeat").select(*order).unionByName(again)
+    return both.repartition("doc").sortWithinPartitions(*order).mapInArrow(_runs(min_bytes), SPANS)
+
+
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; ``n_chars``, if there, follows the text of changed rows.
 
@@ -199,7 +387,7 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def _cut(data: bytes, spans: list[dict]) -> bytes:
     """``data`` without its spans, each drawn in to whole characters."""
-    version = xxhash.xxh3_64_intdigest(data) >> 33
+    version = _version(data)
     out, at = [], 0
     for s in spans:
         if s["version"] != version:
