@@ -121,3 +121,17 @@ def test_outliers(spark):
     spread = np.std(v, ddof=1)
     std = sum(np.exp(-(((x - np.mean(v)) / spread) ** 2) / 2) / (spread * math.sqrt(2 * math.pi)) < 0.3 for x in v)
     assert E.density_outliers(df, "v", 0.3).count() == std
+
+
+def test_replicates_of_the_queries(spark, monkeypatch):
+    from tidemill.plans import experiments as P
+    from tidemill.sources.tables import Tables
+
+    t, seen = Tables(spark, "/root/testdata/sf0.001"), []
+    keep = lambda scores, columns: seen.append(scores) or scores
+    monkeypatch.setattr(P.E, "three_sigma", keep)
+    P.bootstrap_interval(t), P.bootstrap_auc(t)
+    assert [s.select("replicate").distinct().count() for s in seen] == [1000, 1000]
+    every = P.bootstrap_mean_all(t).collect()
+    assert {r.replicate for r in every} == set(range(1000))
+    assert {tuple(r) for r in P.bootstrap_mean(t).collect()} == {tuple(r) for r in every if r.replicate < 40}

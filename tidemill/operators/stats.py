@@ -210,6 +210,10 @@ def signed_rank(df: DataFrame, before: str, after: str) -> DataFrame:
 # --- bootstrap ---------------------------------------------------------------------------------------
 
 
+#: Replicates of a bootstrap.
+REPLICATES = 1_000
+
+
 def replicate_weights(df: DataFrame, key: str, replicates: int, seed: int) -> DataFrame:
     """Every row once per replicate with its Poisson(1) weight ``w`` (rows drawn 0 times are left out).
 
@@ -228,7 +232,7 @@ def replicate_weights(df: DataFrame, key: str, replicates: int, seed: int) -> Da
     return drawn.where("w > 0").drop("_u")
 
 
-def bootstrap_means(df: DataFrame, key: str, group: str, value: str, replicates: int, seed: int) -> DataFrame:
+def bootstrap_means(df: DataFrame, key: str, group: str, value: str, replicates: int = REPLICATES, seed: int = 51) -> DataFrame:
     """Mean of ``value`` per (replicate, group). Each task sums its own rows before the shuffle."""
     rows = replicate_weights(df.select(key, group, value), key, replicates, seed)
     return rows.groupBy("replicate", group).agg(
@@ -236,7 +240,7 @@ def bootstrap_means(df: DataFrame, key: str, group: str, value: str, replicates:
     )
 
 
-def bootstrap_cells(cells: DataFrame, count: str, replicates: int, seed: int) -> DataFrame:
+def bootstrap_cells(cells: DataFrame, count: str, replicates: int = REPLICATES, seed: int = 61) -> DataFrame:
     """Replicate counts of an aggregated table: a cell of ``n`` rows weighs Poisson(n) in a replicate.
 
     For metrics of few distinct outcomes this costs cells x replicates instead of rows x replicates. The
@@ -247,7 +251,8 @@ def bootstrap_cells(cells: DataFrame, count: str, replicates: int, seed: int) ->
     schema = keyed.drop("_k", count).schema.add("replicate", "integer").add("w", "long")
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        step = max(1, 1_000_000 // max(replicates, 1))  # cells whose replicates are held at a time
+        for b in (batch.iloc[i : i + step] for batch in batches for i in range(0, len(batch), step)):
             out = []
             for k, n in zip(b["_k"], b[count]):
                 gen = np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1)))

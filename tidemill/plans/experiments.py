@@ -221,8 +221,18 @@ _DRAW = " + ".join(f"CASE WHEN u >= {e!r}::DOUBLE THEN 1 ELSE 0 END" for e in _e
     SELECT CAST(replicate AS INTEGER) AS replicate, g AS o_orderpriority, round(sum(w * v) / sum(w), 4) AS mean_value FROM w WHERE w > 0 GROUP BY ALL""",
 )
 def bootstrap_mean(t: Tables) -> DataFrame:
-    """40 replicates of the group means."""
-    out = E.bootstrap_means(t.orders, "o_orderkey", "o_orderpriority", "o_totalprice", 40, 51)
+    """The first 40 replicates of the group means, which are those of the SQL twin."""
+    return _mean_replicates(t, 40)
+
+
+@job("bootstrap_mean_all")
+def bootstrap_mean_all(t: Tables) -> DataFrame:
+    """All replicates of the group means."""
+    return _mean_replicates(t)
+
+
+def _mean_replicates(t: Tables, replicates: int = E.REPLICATES) -> DataFrame:
+    out = E.bootstrap_means(t.orders, "o_orderkey", "o_orderpriority", "o_totalprice", replicates, 51)
     return out.withColumn("mean_value", F.round("mean_value", 4))
 
 
@@ -232,14 +242,14 @@ def _scored(t: Tables, bound: int) -> DataFrame:
     return rows.select("quality", (F.col("n_chars") > bound).cast("int").alias("predicted"), F.floor(F.col("n_chars") / 100).alias("score"))
 
 
-def _replicates(t: Tables, bound: int, seed: int) -> DataFrame:
+def _replicates(t: Tables, bound: int, seed: int, replicates: int = E.REPLICATES) -> DataFrame:
     cells = _scored(t, bound).groupBy("quality", "predicted").agg(F.count(F.lit(1)).alias("n"))
-    return E.replicate_scores(E.bootstrap_cells(cells, "n", 100, seed), "quality", "predicted")
+    return E.replicate_scores(E.bootstrap_cells(cells, "n", replicates, seed), "quality", "predicted")
 
 
 @job("bootstrap_interval")
 def bootstrap_interval(t: Tables) -> DataFrame:
-    """Mean and three-sigma interval of accuracy and F1 over 100 replicates."""
+    """Mean and three-sigma interval of accuracy and F1 over the replicates."""
     return E.three_sigma(_replicates(t, 200, 61), ["accuracy", "f1"])
 
 
@@ -247,13 +257,13 @@ def bootstrap_interval(t: Tables) -> DataFrame:
 def bootstrap_auc(t: Tables) -> DataFrame:
     """The same for the ROC area."""
     cells = _scored(t, 200).groupBy("quality", "score").agg(F.count(F.lit(1)).alias("n"))
-    return E.three_sigma(E.replicate_auc(E.bootstrap_cells(cells, "n", 100, 62), "quality", "score"), ["auc"])
+    return E.three_sigma(E.replicate_auc(E.bootstrap_cells(cells, "n", seed=62), "quality", "score"), ["auc"])
 
 
 @job("candidate_vs_base")
 def candidate_vs_base(t: Tables) -> DataFrame:
     """Is the candidate rule's F1 above the base rule's?"""
-    return E.better_candidate(_replicates(t, 800, 63), _replicates(t, 200, 64), "f1", 0.001, 10)
+    return E.better_candidate(_replicates(t, 800, 63, 100), _replicates(t, 200, 64, 100), "f1", 0.001, 10)
 
 
 @job(
