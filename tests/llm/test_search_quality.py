@@ -122,6 +122,21 @@ def test_quality_edges(spark):
     assert all(r.score == pytest.approx(0.7) and r.predicted == 1 for r in alone)
 
 
+def test_rows_of_one_document_count_once(spark, monkeypatch):
+    docs, labels = labelled(120)
+    sizes, fit_pairs = [], Q.fit_pairs
+    monkeypatch.setattr(Q, "fit_pairs", lambda good, bad, pairs: sizes.append((len(good), len(bad))) or fit_pairs(good, bad, pairs))
+    picked = next(i for i, q in labels if zlib.crc32(str(i).encode()) % 4 != 2)
+    models = []
+    for more in ([], [docs[picked]] * 400):
+        d, l = quality_tables(spark, docs + more, labels)
+        models.append(Q.fit(d, Q.training_labels(l, "quality", 2)))
+    assert sizes[0] == sizes[1] and sum(sizes[0]) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in labels)
+    assert models[0].weights == pytest.approx(models[1].weights, abs=1e-6)
+    d, l = quality_tables(spark, docs + [(picked, "x $$$ !!")], labels)
+    assert not np.allclose(Q.fit(d, Q.training_labels(l, "quality", 2)).mean, models[0].mean, rtol=0, atol=1e-9)
+
+
 def test_pairs_learn_the_order():
     rng = np.random.default_rng(4)
     good, bad = rng.standard_normal((300, Q.WIDTH)), rng.standard_normal((300, Q.WIDTH))

@@ -109,7 +109,10 @@ def training_labels(labels: DataFrame, column: str, held_out_fold: int) -> DataF
 
 
 def fit(docs: DataFrame, train: DataFrame, sample_rows: int = SAMPLE_ROWS, pairs: int = PAIRS) -> Model:
-    """Model from about ``sample_rows`` rows of each class of ``train`` (doc_id, label); only they come to the driver."""
+    """Model from about ``sample_rows`` documents of each class of ``train`` (doc_id, label); only they come to the driver.
+
+    A document of several rows counts once, with the mean of their features.
+    """
     sizes = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return fit_pairs(np.zeros((0, WIDTH)), np.zeros((0, WIDTH)))
@@ -120,12 +123,13 @@ def fit(docs: DataFrame, train: DataFrame, sample_rows: int = SAMPLE_ROWS, pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [features(data or b"").tobytes() for _, data in rows(batch)]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], names=["doc_id", "label", "f"])
+            out = pa.array([features(data or b"") for _, data in rows(batch)], pa.list_(pa.float64()))
+            yield pa.record_batch([batch.column("doc_id"), batch.column("label"), out], names=["doc_id", "label", "f"])
 
-    table = found.mapInArrow(run, "doc_id long, label int, f binary").collect()
-    table.sort(key=lambda r: (r.label, r.doc_id, bytes(r.f)))
-    of = {k: np.array([np.frombuffer(r.f) for r in table if r.label == k]).reshape(-1, WIDTH) for k in (0, 1)}
+    means = F.array(*[F.avg(F.col("f")[i]) for i in range(WIDTH)])
+    table = found.mapInArrow(run, "doc_id long, label int, f array<double>").groupBy("doc_id", "label").agg(means.alias("f")).collect()
+    table.sort(key=lambda r: (r.label, r.doc_id))
+    of = {k: np.array([r.f for r in table if r.label == k]).reshape(-1, WIDTH) for k in (0, 1)}
     return fit_pairs(of[1], of[0], pairs)
 
 
