@@ -211,3 +211,11 @@ def test_recommendations_of_every_user(spark):
         assert [p for p, _, _ in rows] == list(range(len(best))) and len({i for _, i, _ in rows}) == len(best)
         assert [x for _, _, x in rows] == pytest.approx(best, abs=1e-3)
         assert [x for _, _, x in rows] == pytest.approx([scores[u][i] for _, i, _ in rows], abs=1e-3)
+
+
+def test_grid_of_the_factorisation(spark, monkeypatch):
+    from tidemill.plans import recommend as P
+    from tidemill.sources.tables import Tables
+
+    monkeypatch.setattr(P.C, "als_choose", lambda ratings, ranks, regs, folds: (ranks, regs, folds))
+    assert P.als_grid(Tables(spark, "/root/testdata/sf0.001")) == ([5, 10, 15], [0.001, 0.01, 0.1, 1.0, 10.0], 4)

@@ -252,7 +252,7 @@ def als_recommend_all(t: Tables) -> DataFrame:
 @job("als_grid")
 def als_grid(t: Tables) -> DataFrame:
     """Cross-validated error of each (rank, regularisation) point."""
-    return C.als_choose(_ratings(t), [5, 10, 15], [0.01, 0.05, 0.1, 0.5, 1.0], folds=4)
+    return C.als_choose(_ratings(t), [5, 10, 15], [0.001, 0.01, 0.1, 1.0, 10.0], folds=4)
 
 
 @job("mean_baseline_rmse", f"""WITH {RATINGS}, train AS (SELECT * FROM ratings WHERE {_U} < 0.8),
