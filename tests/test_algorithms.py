@@ -219,3 +219,18 @@ def test_grid_of_the_factorisation(spark, monkeypatch):
 
     monkeypatch.setattr(P.C, "als_choose", lambda ratings, ranks, regs, folds: (ranks, regs, folds))
     assert P.als_grid(Tables(spark, "/root/testdata/sf0.001")) == ([5, 10, 15], [0.001, 0.01, 0.1, 1.0, 10.0], 4)
+
+
+def test_error_of_the_factorisation(spark, monkeypatch):
+    from tidemill.plans import recommend as P
+    from tidemill.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    kept, predict = [], P.C.als_predict
+    monkeypatch.setattr(P.C, "als_predict", lambda factors, test: kept.append((factors.mean, predict(factors, test))) or kept[-1][1])
+    row = P.als_error(t).first()
+    mean, scored = kept[0][0], kept[0][1].collect()
+    off = lambda guess: math.sqrt(np.mean([(r.rating - guess(r)) ** 2 for r in scored]))
+    rmse, base = off(lambda r: r.prediction), off(lambda r: mean)
+    assert (row.pairs, row.beats_baseline) == (len(scored), rmse < base)
+    assert (row.rmse, row.mean_rmse) == (pytest.approx(rmse, abs=1e-5), pytest.approx(base, abs=1e-5))
