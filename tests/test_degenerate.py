@@ -91,3 +91,18 @@ def test_job_runs_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "rows " in done.stdout, done.stderr[-2000:]
+
+
+def test_buckets_of_the_text_models(spark, monkeypatch):
+    from tidemill.plans import streams as P
+    from tidemill.sources.tables import Tables
+
+    rows = [(i, f"word{i % 7} other{i % 3}", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, text string, label int")
+    size = lambda model: next(s for s in model.stages if s.hasParam("numFeatures")).getNumFeatures()
+    _, refit, _ = L.fit_best_text_model(df, "k", "text", "label")
+    _, small, _ = L.fit_best_text_model(df, "k", "text", "label", buckets=64)
+    assert (size(refit.stages[0]), size(small.stages[0])) == (200_000, 64)
+    models, scored = [], P.J.scored
+    monkeypatch.setattr(P.J, "scored", lambda stream, model: models.append(model) or scored(stream, model))
+    assert P.stream_score(Tables(spark, "/root/testdata/sf0.001")).count() == 200 and size(models[0]) == 200_000

@@ -51,6 +51,10 @@ def majority_accuracy(train: DataFrame, test: DataFrame, label: str = "label") -
 # --- text --------------------------------------------------------------------------------------------
 
 
+#: Hash buckets of words.
+BUCKETS = 200_000
+
+
 def classify_text(
     df: DataFrame,
     key: str,
@@ -58,7 +62,7 @@ def classify_text(
     target: str,
     stop_words: Sequence[str] | None,
     ngram: int | None = None,
-    buckets: int = 200_000,
+    buckets: int = BUCKETS,
     smoothing: float = 1.0,
 ) -> DataFrame:
     """Test accuracy of naive Bayes on hashed TF-IDF and of the majority class, over the same test rows.
@@ -147,10 +151,12 @@ def text_model_candidates(label: str) -> dict[str, Estimator]:
     }
 
 
-def fit_best_text_model(df: DataFrame, key: str, text: str, label: str) -> tuple[str, PipelineModel, dict[str, float]]:
+def fit_best_text_model(
+    df: DataFrame, key: str, text: str, label: str, buckets: int = BUCKETS
+) -> tuple[str, PipelineModel, dict[str, float]]:
     """The candidate with the best test accuracy (first on a tie), refitted on all rows."""
     train, test = _parts(df, key)
-    front = Pipeline(stages=text_stages(text, [], 1 << 12, binary=True)[:-1]).fit(train)
+    front = Pipeline(stages=text_stages(text, [], buckets, binary=True)[:-1]).fit(train)
     a, b = front.transform(train).persist(), front.transform(test).persist()
     found = {name: accuracy(est.fit(a).transform(b), label) for name, est in text_model_candidates(label).items()}
     best = max(found, key=lambda name: found[name])
@@ -159,8 +165,8 @@ def fit_best_text_model(df: DataFrame, key: str, text: str, label: str) -> tuple
     return best, refit, found
 
 
-def compare_text_models(df: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    best, refit, found = fit_best_text_model(df, key, text, label)
+def compare_text_models(df: DataFrame, key: str, text: str, label: str, buckets: int = BUCKETS) -> DataFrame:
+    best, refit, found = fit_best_text_model(df, key, text, label, buckets)
     seen = accuracy(refit.transform(df), label)
     rows = [(name, value, name == best, seen if name == best else None) for name, value in found.items()]
     return _table(df, rows, "model string, accuracy double, chosen boolean, refit_accuracy double")

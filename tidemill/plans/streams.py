@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators.features import text_stages
+from ..operators.models import BUCKETS
 from ..session import scratch_path
 from ..sources.tables import Tables
 from ..streaming import jobs as J
@@ -162,7 +163,7 @@ def stream_fan_out(t: Tables) -> DataFrame:
 def stream_score(t: Tables) -> DataFrame:
     """ST12, K12: documents scored on the stream by a classifier fitted on the labelled ones."""
     train = t.labels.join(t.documents.select("doc_id", "text"), "doc_id").withColumn("label", F.col("quality").cast("double"))
-    stages = [*text_stages("text", [], 1 << 12, binary=True)[:-1], NaiveBayes(featuresCol="tf")]
+    stages = [*text_stages("text", [], BUCKETS, binary=True)[:-1], NaiveBayes(featuresCol="tf")]
     model = Pipeline(stages=stages).fit(train)
     path = scratch_path(t.spark, "scores")
     stream = file_stream(t.spark, t.pattern("documents"), DOCS).select("doc_id", "text")
