@@ -35,7 +35,7 @@ def test_against_sql(spark, db, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.JOBS) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.JOBS) == list(range(1, 14))
     assert set(queries.JOBS) | {"pipeline"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 

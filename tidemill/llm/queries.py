@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import exact_dedup, ngram_join, one_bit_search, packing, piece_scan, quality, revisits, substring_dedup, token_counts, url_filters
+from . import (
+    exact_dedup,
+    merkle_manifest,
+    ngram_join,
+    one_bit_search,
+    packing,
+    piece_scan,
+    quality,
+    revisits,
+    run_detection,
+    substring_dedup,
+    token_counts,
+    url_filters,
+)
 
 JOBS = {}
 SQL: dict[str, str] = {}
@@ -221,3 +234,131 @@ WITH entries AS (""" + ENTRIES + r"""), held AS (
 SELECT c.capture_id, coalesce(r.list, 'none') AS decision, r.entry_id, r.pattern, coalesce(r.n_active, 0) AS n_active
 FROM c LEFT JOIN ranked r ON r.capture_id = c.capture_id AND r.rn = 1
 """
+
+
+#: h: unsigned crc32 of the decimal doc_id of every document, in DuckDB.
+CRC_SQL = """
+bit(n, k, c) AS (
+    SELECT range, 0, range FROM range(256)
+    UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bit WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY n) AS t FROM bit WHERE k = 8
+), crc_step(doc_id, rest, c) AS (
+    SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 4294967295 FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL SELECT doc_id, rest[2:], xor(c >> 8, t[1 + (xor(c, ascii(rest)) & 255)]) FROM crc_step, crc_table WHERE rest <> ''
+), crc AS (SELECT doc_id, xor(c, 4294967295) AS h FROM crc_step WHERE rest = '')
+"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by crc32 of its id, with its words from some place on as repeats of the first few there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n = F.size("words").cast("long")
+    held = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    placed = held.withColumn("a", F.when(n > 0, g % n)).withColumn("p", F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + g % 8)).cast("long"))
+    index = F.sequence(F.lit(0).cast("long"), n - 1)
+    repeat = F.transform(index, lambda i: F.get("words", F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int")))
+    return placed.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), F.array_join(repeat, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@job
+def op12_run_detection(t: Tables) -> DataFrame:
+    """Runs of words that repeat with a period, in every document, and what is left when each is cut to one period."""
+    found = run_detection.find_runs(with_planted_runs(t.documents))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+SQL["op12_run_detection"] = r"""
+WITH RECURSIVE """ + CRC_SQL + r""", w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS ws FROM documents
+), g AS (
+    SELECT w.doc_id, ws, len(ws) AS n, h, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM w LEFT JOIN crc ON crc.doc_id = w.doc_id
+), p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g
+), x AS MATERIALIZED (
+    SELECT doc_id, n, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM p)
+), pairs AS (
+    SELECT l.doc_id, l.i, r.i - l.i AS q FROM x l JOIN x r ON r.doc_id = l.doc_id AND r.word = l.word AND r.i > l.i AND 4 * (r.i - l.i) <= l.n
+), stretch AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island
+    HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length
+), dropped AS (
+    SELECT DISTINCT x.doc_id, x.i FROM x JOIN runs r ON r.doc_id = x.doc_id AND x.i >= r.start + r.period AND x.i < r.start + r.length
+), left_over AS (
+    SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS body FROM x ANTI JOIN dropped d ON d.doc_id = x.doc_id AND d.i = x.i GROUP BY x.doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS body FROM runs GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(l.body, '')) AS runs_sha256, sha256(coalesce(o.body, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id LEFT JOIN left_over o ON o.doc_id = d.doc_id
+"""
+
+
+@job
+def op13_merkle_manifest(t: Tables) -> DataFrame:
+    """Every document's leaf and proof in the tree over all documents, and whether the text that was received verifies."""
+    capitals = "".join(map(chr, range(65, 91)))
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    received = F.when(changed, F.translate("text", capitals, capitals.lower())).otherwise(F.col("text"))
+    return merkle_manifest.manifest(t.documents, received)
+
+
+def _tree_sql(name: str, source: str, levels: int) -> str:
+    """CTEs of a tree over ``source`` (g, pos, node, n), 8 to 1: {name}0 to {name}{levels} with each node's siblings."""
+    out = f"{name}0 AS MATERIALIZED (SELECT g, pos, node, n FROM {source})"
+    for i in range(levels):
+        out += f""", {name}s{i} AS MATERIALIZED (
+            SELECT g, pos, n, coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{i}
+        ), {name}{i + 1} AS MATERIALIZED (
+            SELECT g, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node, (any_value(n) + 7) // 8 AS n
+            FROM {name}{i} GROUP BY g, pos // 8
+        )"""
+    return out
+
+
+def _fold_sql(name: str, source: str, levels: int, g: str, pos: str) -> str:
+    """CTEs that take ``source`` (node, path, and the rest) up the tree ``name``, ending in {name}f{levels}."""
+    out = f"{name}f0 AS (SELECT * FROM {source})"
+    for i in range(levels):
+        out += f""", {name}f{i + 1} AS (
+            SELECT f.* REPLACE (CASE WHEN s.n = 1 THEN f.node ELSE sha256(s.l || f.node || s.r) END AS node, CASE WHEN s.n = 1 THEN path ELSE path || s.l || s.r END AS path)
+            FROM {name}f{i} f JOIN {name}s{i} s ON s.g = f.{g} AND s.pos = f.{pos} // {8 ** i}
+        )"""
+    return out
+
+
+def _field_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+
+
+_HEAD = " || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars")))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE {CRC_SQL}, leaves AS MATERIALIZED (
+    SELECT d.doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g, sha256({_HEAD} || {_field_sql("text")}) AS node,
+           sha256({_HEAD} || CASE WHEN h % 3 = 0 THEN {_field_sql(_LOWER)} ELSE {_field_sql("text")} END) AS seen
+    FROM documents d LEFT JOIN crc USING (doc_id)
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), {_tree_sql("low", "placed", 7)}, tops AS (
+    SELECT 'all' AS g, g AS grp, row_number() OVER (ORDER BY g) - 1 AS pos, node, count(*) OVER () AS n FROM low7
+), {_tree_sql("up", "tops", 3)}, start AS (
+    SELECT p.doc_id, p.node AS leaf, p.seen AS node, '' AS path, p.g, p.pos, 'all' AS every, t.pos AS group_at, t.node AS subroot
+    FROM placed p JOIN tops t ON t.grp = p.g
+), {_fold_sql("low", "start", 7, "g", "pos")}, {_fold_sql("up", "lowf7", 3, "every", "group_at")}
+SELECT doc_id, leaf, subroot, up3.node AS root, sha256(path) AS proof_sha256, upf3.node AS folded_root, upf3.node = up3.node AS verified FROM upf3, up3
+"""
