@@ -19,6 +19,7 @@ from . import (
     run_detection,
     substring_dedup,
     token_counts,
+    toxic_neighbours,
     url_filters,
 )
 
@@ -236,6 +237,12 @@ FROM c LEFT JOIN ranked r ON r.capture_id = c.capture_id AND r.rn = 1
 """
 
 
+@job
+def op11_toxicity(t: Tables) -> DataFrame:
+    """Toxicity score of every document from its nearest labelled examples."""
+    return toxic_neighbours.toxicity(t.documents, t.labels)
+
+
 #: h: unsigned crc32 of the decimal doc_id of every document, in DuckDB.
 CRC_SQL = """
 bit(n, k, c) AS (
