@@ -2,7 +2,8 @@
 
 Terms are words (runs of letters, lower-cased) and the first 4, 5 and 6 letters of longer ones, as far as they go with label 1 in the
 training rows: a term counts if its share of label 1 is so high that, over all terms that were looked at, chance alone would bring about
-less than one such term. Inverse document frequencies are taken over all documents. Near copies among the examples count once.
+less than one such term. All other words of a document count as one further term, so that a single chance hit in a long text lies apart
+from a text full of them. Inverse document frequencies are taken over all documents. Near copies among the examples count once.
 
 The index holds the examples in blocks and, for each term, the largest weight in each block. A query adds these up to a bound for
 each block, works blocks out in falling order of bound and stops when no bound reaches the k-th best cosine: the neighbours are
@@ -65,14 +66,18 @@ class Vocabulary:
         self.heads = {t.rstrip("*")[: STEMS[0]] for t in terms}
 
     def __call__(self, counts: Counter) -> dict[int, int]:
-        """Term number to its occurrences."""
+        """Term number to its occurrences, with all other words as one term after the last; nothing for a text without a term."""
         out: dict[int, int] = {}
+        inside = 0
         for word, n in counts.items():
             if word[: STEMS[0]] in self.heads:
-                for term in terms_of(word):
-                    i = self.number.get(term)
-                    if i is not None:
-                        out[i] = out.get(i, 0) + n
+                found = [self.number[t] for t in terms_of(word) if t in self.number]
+                for i in found:
+                    out[i] = out.get(i, 0) + n
+                inside += n if found else 0
+        rest = sum(counts.values()) - inside
+        if out and rest:
+            out[len(self.number)] = rest
         return out
 
 
@@ -88,7 +93,7 @@ class Index:
 
     def __init__(self, doc_ids: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], block: int = BLOCK):
         self.doc_ids, self.size, self.block = np.array(doc_ids, dtype=np.int64), len(doc_ids), block
-        self.n_blocks = -(-self.size // block)
+        self.n_blocks, self.opened = -(-self.size // block), 0  # blocks there are, and worked out so far
         lists: dict[int, list[tuple[int, float]]] = {}
         for example, (ids, weights) in enumerate(vectors):
             for i, w in zip(ids.tolist(), weights.tolist()):
@@ -115,6 +120,7 @@ class Index:
         while begin < len(order) and (len(best) < k or bound[order[begin]] >= cosines[-1]):
             chosen = np.zeros(self.n_blocks, dtype=bool)
             chosen[order[begin : begin + step]] = True
+            self.opened += len(order[begin : begin + step])
             begin, step = begin + step, step * 2
             total = np.zeros(self.size)
             for w, (examples, weights, at, first, _) in parts:
@@ -250,9 +256,10 @@ def fit(docs: DataFrame, train: DataFrame, sample_rows: int = SAMPLE_ROWS, k: in
     table = term_table(docs, terms)
     total = table.count()
     frequency = table.select(F.explode("terms").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()
-    df = np.zeros(len(terms))
+    df = np.zeros(len(terms) + 1)
     for r in frequency:
         df[r.i] = r.n
+    df[-1] = total
     idf = np.log((1 + total) / (1 + df)) + 1
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
@@ -335,11 +342,11 @@ def toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, k)
-        names = ["doc_id", "score", "n_terms", "evidence"]
+        names, n_known = ["doc_id", "score", "n_terms", "evidence"], len(shared.value.terms)
         for batch in batches:
             found = [scorer(dict(zip(i.as_py(), n.as_py()))) for i, n in zip(batch.column("terms"), batch.column("counts"))]
             evidence = [[dict(zip(("doc_id", "label", "cosine"), e)) for e in some] for _, some in found]
-            n_terms = pa.array([len(x) for x in batch.column("terms")], pa.int64())
+            n_terms = pa.array([sum(i < n_known for i in x.as_py()) for x in batch.column("terms")], pa.int64())
             yield pa.record_batch([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), n_terms, pa.array(evidence, EVIDENCE_TYPE)], names=names)
 
     scored = table.mapInArrow(run, f"doc_id long, score double, n_terms long, evidence {EVIDENCE_DDL}")
