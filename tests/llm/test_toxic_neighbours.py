@@ -49,7 +49,7 @@ def test_few_blocks_are_worked_out():
     vectors = [T.vector({i // 100: 3, 39: 1 + i % 3}, idf) for i in range(3900)]
     index = T.Index(list(range(3900)), vectors)
     index.nearest(vectors[0], 10)
-    assert index.opened <= 4 and index.n_blocks == 61
+    assert index.opened <= 4 and index.n_blocks == 31
 
 
 def test_terms_and_vectors():

@@ -1,8 +1,8 @@
 """Toxicity by votes of the nearest labelled examples: exact TF-IDF cosine over an inverted index with block maxima.
 
 Terms are words (runs of letters, lower-cased) and the first 4, 5 and 6 letters of longer ones, as far as they go with label 1 in the
-training rows: a term counts if its share of label 1 is so high that, over all terms that were looked at, chance alone would bring about
-less than one such term. All other words of a document count as one further term, so that a single chance hit in a long text lies apart
+training rows: a term counts if its odds of label 1 are LIFT times those of all rows or more, and so high that, over all terms that were
+looked at, chance alone would bring about less than one such term. All other words of a document count as one further term, so that a single chance hit in a long text lies apart
 from a text full of them. Inverse document frequencies are taken over all documents. Near copies among the examples count once.
 
 The index holds the examples in blocks and, for each term, the largest weight in each block. A query adds these up to a bound for
@@ -37,7 +37,11 @@ CALIBRATION_ROWS = 2_000
 STEMS = (4, 5, 6)
 NEIGHBOURS = 25
 EVIDENCE = 3
-BLOCK = 64
+BLOCK = 128
+#: How many times likelier label 1 must be, in odds, for a term's documents than for all.
+LIFT = 5.0
+#: Documents with a term that a task scores.
+TASK_ROWS = 2_000
 #: Weight of the share of label 1 over all training rows in a vote, in examples at cosine 1.
 PRIOR = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
@@ -105,7 +109,7 @@ class Index:
             self.postings[i] = (examples, weights, at, np.append(first, len(examples)), np.maximum.reduceat(weights, first))
 
     def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a positive cosine, nearest first, ties to the smaller example.
+        """(examples, cosines) of the k nearest with a positive cosine, nearest first, ties to the smaller doc_id.
 
         Sums run over the terms in the same order for bounds and cosines, so rounding never puts a bound below its cosines.
         """
@@ -116,22 +120,21 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        begin, step = 0, max(2, k // self.block + 1)
+        begin, step = 0, max(4, k // self.block + 1)
         while begin < len(order) and (len(best) < k or bound[order[begin]] >= cosines[-1]):
             chosen = np.zeros(self.n_blocks, dtype=bool)
             chosen[order[begin : begin + step]] = True
             self.opened += len(order[begin : begin + step])
-            begin, step = begin + step, step * 2
+            begin, step = begin + step, step * 4
             total = np.zeros(self.size)
             for w, (examples, weights, at, first, _) in parts:
-                for j in np.flatnonzero(chosen[at]).tolist():
-                    span = slice(first[j], first[j + 1])
-                    total[examples[span]] += w * weights[span]
+                wanted = np.repeat(chosen[at], np.diff(first))
+                total[examples[wanted]] += w * weights[wanted]
             if without >= 0:
                 total[without] = 0
             hit = np.flatnonzero(total)
             best, cosines = np.concatenate([best, hit]), np.concatenate([cosines, total[hit]])
-            keep = np.lexsort((best, -cosines))[:k]
+            keep = np.lexsort((best, self.doc_ids[best], -cosines))[:k]
             best, cosines = best[keep], cosines[keep]
         return best, cosines
 
@@ -207,7 +210,7 @@ def examples(docs: DataFrame, train: DataFrame, sample_rows: int) -> DataFrame:
 
 
 def choose_terms(some: DataFrame) -> list[str]:
-    """Terms that go with label 1: the chance of so many documents of label 1 is below one in the number of terms."""
+    """Terms that go with label 1: so many documents of label 1 come about by chance in less than one of all terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_label = (Counter(), Counter())
@@ -230,7 +233,8 @@ def choose_terms(some: DataFrame) -> list[str]:
     share = F.col("hits") / n
     other = F.when(F.col("other") > 0, F.col("other") * F.log((1 - share) / (1 - base))).otherwise(0.0)
     surprise = F.col("hits") * F.log(share / base) + other
-    kept = counted.where((F.col("hits") >= 3) & (share > base)).where(surprise >= log(max(terms, 2)))
+    telling = F.col("hits") * sizes[0] >= LIFT * F.col("other") * sizes[1]
+    kept = counted.where((F.col("hits") >= 3) & (share > base) & telling).where(surprise >= log(max(terms, 2)))
     return sorted(r.term for r in kept.select("term").collect())  # each is in several examples, so they are fewer than their words
 
 
@@ -274,7 +278,7 @@ def fit(docs: DataFrame, train: DataFrame, sample_rows: int = SAMPLE_ROWS, k: in
                  pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "counts"])
 
     kept = some.mapInArrow(run, "doc_id long, label int, terms array<int>, counts array<int>").collect()
-    kept.sort(key=lambda r: (r.doc_id, r.label))
+    kept.sort(key=lambda r: (r.terms, r.doc_id, r.label))  # like ones share blocks, which makes bounds tight
     sizes = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     own = Counter(r.label for r in kept)
     every = sum(sizes.values())
@@ -307,8 +311,6 @@ class Scorer:
 
     def __call__(self, counts: dict[int, int]) -> tuple[float, list[tuple[int, int, float]]]:
         m = self.model
-        if not counts:
-            return m.empty, []
         best, cosines = self.index.nearest(vector(counts, m.idf), self.k)
         score = 1 / (1 + exp(-(m.slope * logit(votes(m, best, cosines)) + m.shift)))
         top = zip(best[:EVIDENCE].tolist(), cosines[:EVIDENCE].tolist())
@@ -340,6 +342,9 @@ def toxicity(
     model, table = fit(docs, train, sample_rows, k)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    some, bare = table.where(F.size("terms") > 0), table.where(F.size("terms") == 0)
+    parts = max(1, min(-(-some.count() // TASK_ROWS), 1 << 16))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, k)
         names, n_known = ["doc_id", "score", "n_terms", "evidence"], len(shared.value.terms)
@@ -349,6 +354,8 @@ def toxicity(
             n_terms = pa.array([sum(i < n_known for i in x.as_py()) for x in batch.column("terms")], pa.int64())
             yield pa.record_batch([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), n_terms, pa.array(evidence, EVIDENCE_TYPE)], names=names)
 
-    scored = table.mapInArrow(run, f"doc_id long, score double, n_terms long, evidence {EVIDENCE_DDL}")
+    near = some.repartition(parts, "doc_id", "terms").mapInArrow(run, f"doc_id long, score double, n_terms long, evidence {EVIDENCE_DDL}")
+    none = F.expr(f"CAST(array() AS {EVIDENCE_DDL})").alias("evidence")
+    scored = near.unionByName(bare.select("doc_id", F.lit(model.empty).alias("score"), F.lit(0).cast("long").alias("n_terms"), none))
     held_out = F.coalesce(fold_of(F.col("doc_id")) == held_out_fold, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"), "n_terms", "evidence")
