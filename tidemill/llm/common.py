@@ -66,3 +66,20 @@ def capped(cache: dict, most: int) -> dict:
     if len(cache) > most:
         cache.clear()
     return cache
+
+
+class Generations:
+    """A cache of two generations: when the young one is full it becomes the old one, and a hit there moves back to the young one,
+    so what is used often stays while what was seen once goes."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def fresh(self, keys: set) -> set:
+        """The keys of ``keys`` that are not held; all others are in ``young`` afterwards, where the caller puts these too."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        missing = keys.difference(self.young)
+        for key in missing & self.old.keys():
+            self.young[key] = self.old[key]
+        return missing.difference(self.young)

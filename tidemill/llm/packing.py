@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import blocks, capped, id_and_text, rows, vocabulary
+from .common import Generations, blocks, capped, id_and_text, rows, vocabulary
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -30,15 +31,16 @@ PIECES = (
 ARROW = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 #: Sequence ids are partition << SHIFT | number within the partition.
 SHIFT = 36
-CACHE_WORDS = 250_000
+CACHE_WORDS, CACHE_PIECES = 100_000, 300_000
 
 
 class WordIds:
     """Ids of texts by a ``tokenizers`` vocabulary that drops white space, composes, lower-cases and marks word ends.
 
-    There each white-space separated word is encoded alone, so a text's ids are those of its words in a row, and the
-    library sees each distinct word once. Plain words (Latin-1 letters, digits and signs, which compose to themselves) are
-    split here into the vocabulary's pre-tokens, which repeat more than words do; others go to the library whole.
+    There each white-space separated word is encoded alone, so a text's ids are those of its words in a row. Plain text
+    (Latin-1 letters, digits and signs, which compose to themselves) is split here into the vocabulary's pre-tokens, none of which
+    crosses white space, and the library sees each distinct pre-token once. In other text, words that are not plain go to the
+    library whole.
     """
 
     def __init__(self, definition: bytes):
@@ -56,10 +58,15 @@ class WordIds:
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         # A plain word: no white space of Latin-1 and nothing that may begin a special string.
         self.plain = re.compile("[\x00-\x08\x0e-\x1f!-;=-\x84\x86-\x9f\xa1-\xff]+")
+        self.plain_text = re.compile("[\t-\r !-;=-~\xa1-\xac\xae-\xff]*")
+        # The vocabulary's own pattern with its letters and numbers spelled out as far as plain text has them, for the faster engine.
+        letters, numbers = ("".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == x) for x in "LN")
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split_plain = re.compile(pattern.replace("\\p{L}", letters).replace("\\p{N}", numbers))
         vocab = spec["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for name, i in vocab.items() if name.endswith(ending)]] = True
-        self.pre: dict[str, bytes] = {}
+        self.pre = Generations(CACHE_PIECES)
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
@@ -70,12 +77,13 @@ class WordIds:
                 parts[word] = self.split.findall(text.lower())
             else:
                 self.known[word] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pre = capped(self.pre, CACHE_WORDS)
-        self._learn_pre(list({p for some in parts.values() for p in some}.difference(pre)))
+        pre = self._learn_pre({p for some in parts.values() for p in some})
         for word, some in parts.items():
             self.known[word] = pre[some[0]] if len(some) == 1 else b"".join(map(pre.__getitem__, some))
 
-    def _learn_pre(self, new: list[str]) -> None:
+    def _learn_pre(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens, those of ``pieces`` among them."""
+        new = list(self.pre.fresh(pieces))
         for at in range(0, len(new), 2000):
             part = new[at : at + 2000]
             ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -84,13 +92,19 @@ class WordIds:
                 raise ValueError("the vocabulary splits its own pre-tokens")
             raw, begin = ids.tobytes(), 0
             for piece, end in zip(part, ends.tolist()):
-                self.pre[piece] = raw[begin:end]
+                self.pre.young[piece] = raw[begin:end]
                 begin = end
+        return self.pre.young
 
     def __call__(self, data: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         out = []
         for block in blocks(data):
+            text = block.decode()
+            if self.plain_text.fullmatch(text):
+                parts = self.split_plain.findall(text.lower())
+                out.append(b"".join(map(self._learn_pre(set(parts)).__getitem__, parts)))
+                continue
             words = block.split()
             known = capped(self.known, CACHE_WORDS)
             new = set(words).difference(known)
