@@ -24,6 +24,7 @@ from ..session import cut_lineage, fits, shuffle_width, small_side
 from .ordered import row_numbers
 from .sampling import folds as folds_of
 from .sampling import split_column, take_sample
+from .top_products import Found, top_products
 from .windows import top_per_group
 
 LIGHT_USER = 256
@@ -294,12 +295,18 @@ def als_choose(ratings: DataFrame, ranks: Sequence[int], regs: Sequence[float],
     return ratings.sparkSession.createDataFrame(out, "rank int, reg double, pairs long, rmse double")
 
 
+def als_products(factors: Factors, users: DataFrame, top: int) -> Found:
+    """The ``top`` items of the given users by the factors, found exactly without all products, and how many were needed."""
+    asked = factors.users.join(users.select("user").distinct(), "user", "left_semi")
+    mine = factors.model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("vec")).join(asked, "user_id")
+    theirs = factors.model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("vec")).join(factors.items, "item_id")
+    return top_products(mine.select("user", "vec"), theirs.select("item", "vec"), top)
+
+
 def als_recommend(factors: Factors, users: DataFrame, top: int) -> DataFrame:
-    """(user, pos, item, rating): the ``top`` items of the given users by the factors; users without factors get none."""
-    wanted = factors.users.join(users.select("user").distinct(), "user", "left_semi")
-    recs = factors.model.recommendForUserSubset(wanted.select("user_id"), top)
-    flat = recs.select("user_id", F.posexplode("recommendations").alias("pos", "r")).select("user_id", "pos", "r.item_id", "r.rating")
-    return flat.join(wanted, "user_id").join(factors.items, "item_id").select("user", "pos", "item", "rating")
+    """(user, pos, item, rating): the ``top`` items of the given users by the factors, ties by item; users without factors get none."""
+    found = als_products(factors, users, top).rows
+    return found.select("user", (F.col("rn") - 1).alias("pos"), "item", F.col("score").alias("rating"))
 
 
 # --- association rules -----------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from ..functions import urls
 from ..operators import models as L
 from ..operators import neighbours as N
 from ..operators import sampling as S
+from ..operators import vector_index as V
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources.tables import Tables
@@ -40,6 +41,25 @@ def knn_vote(t: Tables) -> DataFrame:
     return N.vote(N.nearest(train, test, 5), train)
 
 
+@job("knn_index")
+def knn_index(t: Tables) -> DataFrame:
+    """Majority label of about the five nearest neighbours, found by inverted lists with an exact last step."""
+    train, test = S.split(_vectors(t), "id", [0.8, 0.2], 81)
+    index = V.build(train, 5)
+    if index is None:
+        return test.select(F.col("id").alias("query_id"), "label").limit(0)
+    return N.vote(V.search(index, test, 5), train)
+
+
+@job("knn_index_report")
+def knn_index_report(t: Tables) -> DataFrame:
+    """What the index of ``knn_index`` compares, and its recall on 200 queries against the exact neighbours."""
+    train, test = S.split(_vectors(t), "id", [0.8, 0.2], 81)
+    index = V.build(train, 5)
+    some = S.take_sample(test, "id", 200, 5)
+    return V.report(index, test, V.search(index, some, 5), N.nearest(train, some, 5), 5)
+
+
 _PTS = """p AS (SELECT c_custkey AS id, 37 + ((c_custkey * 7919) % 10007) / 10007.0::DOUBLE AS x,
  55 + ((c_custkey * 104729) % 10009) / 10009.0::DOUBLE AS y FROM customer)"""
 

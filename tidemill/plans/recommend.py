@@ -244,21 +244,30 @@ def _als_errors(t: Tables) -> DataFrame:
 
 
 @job("als_recommend", f"""WITH {RATINGS} SELECT "user", CAST(unnest(range(least(5, (SELECT count(DISTINCT item) FROM ratings)))) AS INT) AS pos
-    FROM (SELECT DISTINCT "user" FROM ratings WHERE "user" % 10 = 0)""")
+    FROM (SELECT DISTINCT "user" FROM ratings)""")
 def als_recommend(t: Tables) -> DataFrame:
-    """Ranks of the top five items of the users whose key ends in 0, which is what the SQL twin can compare; all users, with
-    items and ratings, are in ``als_recommend_all``."""
-    factors = C.als_fit(_ratings(t), rank=10, reg=0.1, iterations=10)
-    return C.als_recommend(factors, _ratings(t).where("user % 10 = 0"), 5).select("user", "pos")
+    """Ranks of the top five items of every user, which is what the SQL twin can compare; items and ratings are in
+    ``als_recommend_all``, which a test holds against all products of the factors."""
+    return als_recommend_all(t).select("user", "pos")
 
 
 @job("als_recommend_all")
 def als_recommend_all(t: Tables) -> DataFrame:
-    """Top five items of every user, with the rating by the factors; users x items are scored in blocks."""
+    """Top five items of every user, with the rating by the factors, found by falling length of the items' factors."""
     ratings = _ratings(t)
     return C.als_recommend(C.als_fit(ratings, rank=10, reg=0.1, iterations=10), ratings, 5)
 
 
+@job("als_recommend_cost")
+def als_recommend_cost(t: Tables) -> DataFrame:
+    """How many of all products of users and items the exact top five of every user took."""
+    ratings = _ratings(t)
+    found = C.als_products(C.als_fit(ratings, rank=10, reg=0.1, iterations=10), ratings, 5)
+    done = found.rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user").alias("users"))
+    share = F.lit(found.products / max(found.pairs, 1))
+    return done.select("users", "rows", F.lit(found.pairs).alias("pairs"), F.round(F.lit(found.products)).cast("long").alias("products"), share.alias("share"))
+
+
 @job("als_grid")
 def als_grid(t: Tables) -> DataFrame:
     """Cross-validated error of each (rank, regularisation) point."""
