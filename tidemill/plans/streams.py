@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame
@@ -13,6 +15,7 @@ from ..operators.models import BUCKETS
 from ..session import scratch_path
 from ..sources.tables import Tables
 from ..streaming import jobs as J
+from ..streaming import panes as N
 from ..streaming import sinks as K
 from ..streaming.sources import envelope_text, file_stream
 from .registry import job
@@ -230,3 +233,72 @@ def stream_clicks(t: Tables) -> DataFrame:
     stream = _events(t).where("event_type = 'click'").select(message.alias("value"))
     K.run_now(J.running_counts(J.clicks(stream), "user_id", "page_id"), "update", K.append_epochs(path))
     return K.latest_values(t.spark, path, ["user_id", "page_id"])
+
+
+# --- several batches, with late rows and a restart before each ---------------------------------------------
+
+SLICES = 5
+#: Events by the fifth of the time span that they fall into; one in 97 comes three fifths too late, when no window is open for it any more.
+_ARRIVED = f"""span AS (SELECT epoch_us(min(ts)) AS first, (epoch_us(max(ts)) - epoch_us(min(ts))) // {SLICES} + 1 AS width FROM events),
+ dealt AS (SELECT e.*, (epoch_us(ts) - first) // width AS slice FROM events e, span),
+ arrived AS (SELECT *, event_id % 97 = 0 AND slice + 3 < {SLICES} AS late, epoch_us(ts) // 1000 AS ms FROM dealt),
+ mark AS (SELECT max(ms) - 15000 AS wm FROM arrived WHERE NOT late), kept AS (SELECT * FROM arrived WHERE NOT late)"""
+
+
+def _in_slices(t: Tables, run: Callable[[DataFrame, str], None]) -> None:
+    """Replays the events in SLICES parts. Each part is taken by a query of its own that resumes from the checkpoint of the one
+    before: ``run`` starts it, given the stream and the checkpoint."""
+    source, checkpoint = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "ckpt")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = t.events.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
+    if span["first"] is None:
+        return
+    width = (span["last"] - span["first"]) // SLICES + 1
+    part = F.floor((micros - span["first"]) / width).cast("int")
+    late = (F.col("event_id") % 97 == 0) & (part + 3 < SLICES)
+    rows = t.events.withColumn("slice", F.when(late, part + 3).otherwise(part))
+    for number in range(SLICES):
+        rows.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(source)
+        stream = file_stream(t.spark, source, EVENTS).withColumn("ts", F.col("ts").cast("timestamp"))
+        run(stream, checkpoint)
+
+
+def _pane_rows(t: Tables, keys: list[str], pane: int, size: int | None, salts: int = 1) -> DataFrame:
+    path = scratch_path(t.spark, "panes")
+    shape = ", ".join([*[f"{k} {dict(t.events.dtypes)[k]}" for k in keys], "end_ms long", "cnt long"])
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        counts = N.pane_counts(stream, "ts", keys, pane, size, "15 seconds", salts, "event_id")
+        K.run_now(counts, "append", path=path, checkpoint=checkpoint)
+
+    with N.keyed_state(t.spark):
+        _in_slices(t, run)
+    return N.summed(t.spark.read.schema(shape).parquet(path), keys)
+
+
+def _pane_sql(key: str, pane: int, size: int) -> str:
+    return f"""SELECT {key}, end_ms, count(*) AS cnt FROM (
+        SELECT {key}, (ms // {pane * 1000} + 1 + unnest(range({size // pane}))) * {pane * 1000} AS end_ms FROM kept), mark WHERE end_ms <= wm GROUP BY {key}, end_ms"""
+
+
+@job("stream_panes", f"WITH {_ARRIVED} {_pane_sql('event_type', 300, 600)}")
+def stream_panes(t: Tables) -> DataFrame:
+    """ST03, ST09, ST17: windows of 10 minutes each 5 minutes by panes with an inverse step, over five runs that resume each other; hot
+    keys in four parts."""
+    return _pane_rows(t, ["event_type"], 300, 600, 4)
+
+
+@job("stream_user_panes", f"""WITH {_ARRIVED} SELECT 60 AS size, * FROM ({_pane_sql('user_id', 30, 60)}) UNION ALL
+    SELECT 600, * FROM ({_pane_sql('user_id', 30, 600)})""")
+def stream_user_panes(t: Tables) -> DataFrame:
+    """ST15: events per user over 1 and 10 minutes every 30 seconds, one addition to one pane for each event."""
+    parts = [_pane_rows(t, ["user_id"], 30, size).withColumn("size", F.lit(size)) for size in (60, 600)]
+    return parts[0].unionByName(parts[1])
+
+
+@job("stream_minute_totals", f"""WITH {_ARRIVED}, p AS (SELECT event_type, (ms // 60000 + 1) * 60000 AS end_ms, count(*) AS n FROM kept GROUP BY ALL),
+    r AS (SELECT event_type, end_ms, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY end_ms) AS BIGINT) AS cnt FROM p)
+    SELECT r.* FROM r, mark WHERE end_ms <= wm""")
+def stream_minute_totals(t: Tables) -> DataFrame:
+    """ST02, ST16: totals since the start with a snapshot each minute, of the keys that the minute changed; nothing is written twice."""
+    return _pane_rows(t, ["event_type"], 60, None)
