@@ -174,7 +174,7 @@ def quality_scores(
     scored = strengths.select(
         "doc_id", F.coalesce(fold_of(F.col("doc_id")) == held_out_fold, F.lit(False)).alias("held_out"), score.alias("score")
     )
-    return scored.withColumn("predicted", (F.col("score") >= at_cut - 1e-12).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= at_cut).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
