@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemill.streaming.panes import Panes, keyed_state
+from tidemill.streaming.upserts import UpsertTable
 from tools.check import compare, connect
 
 BASE = "/root/testdata/sf0.001"
@@ -42,7 +43,7 @@ def test_a_long_gap_costs_nothing():
     assert len(p.close(10**12 + 50)) == 20 and p.next_end() is None
 
 
-@pytest.mark.parametrize("name", ["stream_panes", "stream_user_panes", "stream_minute_totals"])
+@pytest.mark.parametrize("name", ["stream_panes", "stream_user_panes", "stream_minute_totals", "stream_upsert_table"])
 def test_streams_over_five_runs(spark, name):
     """Late rows are dropped and each run resumes the one before; equal to SQL over the rows that came in time."""
     df = entry.queries()[name](spark, BASE)
@@ -57,3 +58,37 @@ def test_state_store_setting_comes_back(spark):
     with keyed_state(spark):
         assert "RocksDB" in spark.conf.get(name)
     assert spark.conf.get(name, None) == before
+
+
+def test_upserts_over_twenty_epochs(spark, tmp_path):
+    """Segments stay few, a repeated epoch changes nothing, and the table equals the newest value of each key."""
+    table = UpsertTable(spark, str(tmp_path / "t"), "k long, name string, cnt long", ["k", "name"], fan=3, buckets=2)
+    assert table.read().collect() == []
+    rng, want, batches = random.Random(3), {}, {}
+    for epoch in range(20):
+        keys = rng.sample(range(12), rng.randrange(0, 6)) if epoch != 7 else []
+        rows = [(k if k else None, f"n{k % 2}", epoch * 100 + k) for k in keys]
+        batches[epoch] = spark.createDataFrame(rows, "k long, name string, cnt long")
+        table.write(batches[epoch], epoch)
+        want |= {(k, n): c for k, n, c in rows}
+        assert len(table.segments()) <= 2 * 4
+    held = lambda: {(r.k, r.name): r.cnt for r in table.read().collect()}
+    assert held() == want
+    before = table.segments()
+    for epoch in (0, 5, 19):
+        table.write(batches[epoch], epoch)
+    assert held() == want and table.segments() == before
+    folders = list((tmp_path / "t").glob("level=*/from=*"))
+    assert len(folders) <= 2 * 4 + 2 * 3 and max(s[0] for s in before) == 2
+
+
+def test_half_written_segments_are_not_read(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), "k long, cnt long", ["k"], fan=2, buckets=1)
+    for epoch in range(2):
+        table.write(spark.createDataFrame([(1, epoch)], "k long, cnt long"), epoch)
+    (tmp_path / "t" / "level=1" / "from=0-to=1" / "_SUCCESS").unlink()
+    assert table.segments() == [(0, 0, 0), (0, 1, 1)] and table.read().collect()[0].cnt == 1
+    table.write(spark.createDataFrame([(1, 9)], "k long, cnt long"), 2)
+    assert table.read().collect()[0].cnt == 9
+    with pytest.raises(ValueError):
+        UpsertTable(spark, "x", "k long", ["k"], fan=1)

@@ -18,6 +18,7 @@ from ..streaming import jobs as J
 from ..streaming import panes as N
 from ..streaming import sinks as K
 from ..streaming.sources import envelope_text, file_stream
+from ..streaming.upserts import UpsertTable
 from .registry import job
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -302,3 +303,16 @@ def stream_user_panes(t: Tables) -> DataFrame:
 def stream_minute_totals(t: Tables) -> DataFrame:
     """ST02, ST16: totals since the start with a snapshot each minute, of the keys that the minute changed; nothing is written twice."""
     return _pane_rows(t, ["event_type"], 60, None)
+
+
+@job("stream_upsert_table", "SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL")
+def stream_upsert_table(t: Tables) -> DataFrame:
+    """K08, ST05, ST17: changed totals of five resumed runs upserted into a keyed table whose epochs are merged level by level."""
+    shape = "user_id long, event_type string, cnt long"
+    table = UpsertTable(t.spark, scratch_path(t.spark, "keyed"), shape, ["user_id", "event_type"], fan=3)
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        K.run_now(J.running_counts(stream, "user_id", "event_type"), "update", table.write, checkpoint=checkpoint)
+
+    _in_slices(t, run)
+    return table.read()
