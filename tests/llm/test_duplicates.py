@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,21 +200,30 @@ def test_keep_one(spark):
 # --- passages ------------------------------------------------------------------------------------------
 
 
-def plain_spans(rows, min_bytes=S.MIN_BYTES):
-    """Chunk by chunk with a dictionary."""
-    first, out = {}, []
-    for i, t in sorted((r for r in rows if r[0] is not None and r[1]), key=lambda r: r[0]):
+def windows_held_before(rows, size=S.MIN_BYTES):
+    """(doc_id, set of bytes) in windows of ``size`` bytes that a document of smaller doc_id holds, one by one."""
+    first, out = {}, {}
+    for i, t in sorted((i, t) for i, t in rows if i is not None and t):
         data = t.encode()
-        begin, run = 0, None
-        for end in S.cuts(data).tolist():
-            chunk = data[begin:end]
-            if first.setdefault(chunk, i) != i:
-                run = [begin if run is None else run[0], end]
-            if run and (run[1] != end or end == len(data)):
-                out.append((i, run[0], run[1] - run[0]))
-                run = None
-            begin = end
-    return sorted(s for s in out if s[2] >= min_bytes)
+        for a in range(len(data) - size + 1):
+            if first.setdefault(data[a : a + size], i) != i:
+                out.setdefault(i, set()).update(range(a, a + size))
+    return out
+
+
+def check_spans(spans, rows, most_left=16):
+    """Spans against all windows: nothing that no earlier document holds, and of what one holds all but fewer than ``most_left`` bytes at an
+    end, which a later holder of the passage shares by chance and its first one does not."""
+    want, found = windows_held_before(rows), {}
+    for i, start, length in spans:
+        assert length >= S.MIN_BYTES
+        found.setdefault(i, set()).update(range(start, start + length))
+    assert set(found) == set(want)
+    for i, held in want.items():
+        assert found[i] <= held
+        left = np.sort(np.fromiter(held - found[i], dtype=np.int64))
+        parts = np.split(left, np.flatnonzero(np.diff(left) > 1) + 1)
+        assert all(len(part) < most_left for part in parts), (i, parts)
 
 
 def passage_rows():
@@ -224,16 +234,27 @@ def passage_rows():
     return rows, shared
 
 
-def test_repeated_passages(spark, monkeypatch):
+def test_repeated_passages(spark):
+    rows, shared = passage_rows()
+    odd = [(300, None), (301, ""), (None, rows[0][1])]
+    got = {(r.doc_id, r.start, r.length) for r in S.whole_passages(table(spark, rows + odd)).collect()}
+    check_spans(got, rows)
+    text = {i: t.encode() for i, t in rows}
+    for i in range(3, 30):
+        at = text[i].index(shared[i % 3].encode())
+        assert any(d == i and a <= at and a + n >= at + len(shared[i % 3]) for d, a, n in got)
+    assert not {d for d, _, _ in got} & set(range(100, 120))
+    check_spans({(r.doc_id, r.start, r.length) for r in S.whole_passages(table(spark, rows + rows)).collect()}, rows)
+    assert S.whole_passages(table(spark, [])).collect() == []
+
+
+def test_version_tells_texts_of_one_id_apart(spark):
     rows, _ = passage_rows()
-    rows += [(300, None), (301, ""), (None, rows[0][1])]
-    want = plain_spans(rows)
-    got = S.repeated_passages(table(spark, rows)).collect()
-    assert sorted((r.doc_id, r.start, r.length) for r in got) == want
-    assert {d for d, _, _ in want} >= set(range(3, 30)) and not {d for d, _, _ in want} & set(range(100, 120))
-    again = S.repeated_passages(table(spark, rows + rows)).collect()
-    assert {(r.doc_id, r.start, r.length) for r in again} == set(want)
-    assert S.repeated_passages(table(spark, [])).collect() == []
+    twice = [*rows[:4], (3, rows[30][1]), (3, rows[4][1])]  # doc_id 3 with three texts, of which the first and the last repeat a passage
+    got = S.whole_passages(table(spark, twice)).collect()
+    assert {r.doc_id for r in got} == {3} and len({r.version for r in got}) == 2
+    texts = [r.text for r in S.without_repeats(table(spark, twice)).collect() if r.doc_id == 3]
+    assert rows[30][1] in texts and len(texts) == 3
 
 
 def test_cuts_resist_insertions():
@@ -259,8 +280,8 @@ def test_without_repeats(spark):
             left = shared[i % 3]
             assert left not in out[i].text and len(out[i].text) < len(t) - 150
     spans = {}
-    for d, a, n in plain_spans(rows):
-        spans.setdefault(d, []).append((a, n))
+    for r in S.whole_passages(docs).orderBy("doc_id", "start").collect():
+        spans.setdefault(r.doc_id, []).append((r.start, r.length))
     for i, t in rows:
         if i not in (202,):  # whole characters only
             data, at, keep = t.encode(), 0, b""
@@ -271,17 +292,6 @@ def test_without_repeats(spark):
     assert sorted(((r.doc_id, r.text) for r in S.without_repeats(odd).collect()), key=repr) == [(1, None), (2, ""), (None, "x")]
 
 
-def windows_held_before(rows, size=S.MIN_BYTES):
-    """(doc_id, set of bytes) in windows of ``size`` bytes that a document of smaller doc_id holds, one by one."""
-    first, out = {}, {}
-    for i, t in sorted(rows):
-        data = t.encode()
-        for a in range(len(data) - size + 1):
-            if first.setdefault(data[a : a + size], i) != i:
-                out.setdefault(i, set()).update(range(a, a + size))
-    return out
-
-
 def whole_rows():
     """Passages of 51 words in two contexts each, those of few different words, and ones whose parts have other first holders."""
     rng = random.Random(12)
@@ -318,17 +328,22 @@ def test_whole_passages(spark, batch):
         spark.conf.set(setting, before)
 
 
-def test_every_window_holds_a_seed():
+def test_every_window_holds_a_chunk():
+    """Any ``MIN_BYTES`` bytes hold a whole chunk, and one that does not depend on what is around them."""
     rng = random.Random(8)
-    for text in [prose(rng, 300), "ha " * 200, "a" * 500, "yes no " * 90, "".join(rng.choice("ab") for _ in range(900))]:
+    for text in [prose(rng, 300), "yes no " * 90, "".join(rng.choice("ab") for _ in range(900))]:
         data = text.encode()
-        at, digest = S.seeds(data)
-        of = {}
-        for a, d in zip(at.tolist(), digest.tolist()):
-            of.setdefault(a, d)
-        every = S._hash(data, S.SEED)[-1].view("int64").tolist()
+        ends = S.cuts(data).tolist()
+        chunks = list(zip(ends[:-2], ends[1:-1]))
         for a in range(len(data) - S.MIN_BYTES + 1):
-            inside = range(a, a + S.MIN_BYTES - S.SEED + 1)
-            least = min(inside, key=lambda i: every[i] % 2**64)
-            assert every[least] in {of[i] for i in inside if i in of}
-        assert len(at) < len(data) / 8
+            assert any(a <= b and e <= a + S.MIN_BYTES for b, e in chunks)
+    for _ in range(300):
+        shared = prose(rng, 40)[: S.MIN_BYTES].encode()
+        sets = []
+        for _ in range(2):
+            data = prose(rng, rng.randint(1, 20)).encode() + shared + prose(rng, rng.randint(1, 20)).encode()
+            at, ends = data.index(shared), S.cuts(data).tolist()
+            sets.append({(b - at, e - at) for b, e in zip(ends[:-2], ends[1:-1]) if at <= b and e <= at + S.MIN_BYTES})
+        assert sets[0] & sets[1]
+    for text in ("ha " * 200, "a" * 500, "yes no " * 90):  # cuts of one hash at equal distances are thinned out
+        assert len(S.cuts(text.encode())) < len(text) / 15

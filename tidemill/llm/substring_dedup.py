@@ -1,19 +1,17 @@
 """Repeated passages by content-defined chunks.
 
-A gear hash rolls over the bytes of a text: each byte adds a fixed random value, and older bytes are shifted out after
-``WINDOW`` of them. A chunk ends where the hash's top bits are zero, so a cut depends on the last ``WINDOW`` bytes alone, and an
-insertion moves no cut beyond the chunk that it falls into. Chunks are told apart by a 64-bit digest; a chunk is a
-repeat if a document of smaller doc_id holds its digest. Repeated chunks that follow each other make a run, and runs of
-``min_bytes`` or more are repeated passages, so that no short phrase and no single equal digest counts.
-
-Chunks are compared in a sorted stream by digest. Repeats within one Arrow batch are known beforehand and do not go to
-the digest's task, so a passage that a third of all documents share adds one row for each batch there.
-
-Chunk runs do not see a passage up to its first cut and from its last one on. ``whole_passages`` has no such gaps. Its seeds are
-windows of ``SEED`` bytes whose hash is the least in some ``min_bytes`` bytes around them (winnowing), so any two texts that share
-``min_bytes`` bytes share a seed there, whatever comes before or after. Seeds that an earlier document holds make runs. Around either
-end of a run, and at the places of the same seeds in other documents, every window of ``min_bytes`` is then compared as well: this
-finds where the passage begins and ends, and drops runs that are too short.
+A gear hash rolls over the bytes of a text: each byte shifts the hash and adds a fixed random value, and the last ``WINDOW`` bytes
+count. A chunk ends where the hash's top bits are zero, and where no hash of ``across`` that follow each other is so, at the least of
+them. A cut thus depends on the bytes near it alone, and an insertion moves no cut far from it. As a chunk ends in every ``across``
+hashes, any two texts that share ``min_bytes`` bytes share a whole chunk there.
+
+Chunks are told apart by a 64-bit digest and compared in a sorted stream. A chunk is a repeat if a document of smaller doc_id, its
+holder, has its digest. Repeats that follow each other in both texts make a segment. The bytes around a segment and around its place
+in the holder are then compared, which gives where the passage that both share begins and ends; passages of ``min_bytes`` or more
+are kept. So no short phrase counts, no passage is put together from several documents, and no digest is believed beyond its chunk.
+
+Repeats within one Arrow batch are known beforehand and have their holder there. They do not go to the digest's task, so a passage
+that a third of all documents share adds one row for each batch there, and its holders are as many as the batches.
 """
 
 from __future__ import annotations
@@ -23,356 +21,350 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, small_side
-from .common import id_and_text, rows
+from ..session import cut_lineage
+from .common import id_and_text
 
 WINDOW = 16
-#: One byte in 2**CUT_BITS ends a chunk; a chunk of MOST_BYTES (at most 1024) is ended there.
+#: One byte in 2**CUT_BITS ends a chunk.
 CUT_BITS = 5
+#: Bytes of a chunk at the most.
 MOST_BYTES = 128
-#: Bytes of a repeated passage at the least, which any passage of over 50 words has. A run of whole chunks can be shorter than the
-#: passage by more than that leaves, so chunk runs miss some; ``whole_passages`` misses none.
+#: Bytes of a repeated passage at the least, which any passage of over 50 words has.
 MIN_BYTES = 96
-#: Bytes of a seed.
-SEED = 64
+#: Bytes compared on either side of a segment. Up to its first cut and from its last one on a passage has 56 bytes at the most, and
+#: fewer than ``MIN_BYTES`` more where chunks in it have another holder that does not share a passage.
+AROUND = 160
 #: Chunks that are compared within a worker at a time.
 HELD = 400_000
 #: The value that each byte adds, from one rule.
-GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=97) & 0xFFFF for b in range(256)], dtype=np.uint16)
-_BYTE = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=98) for b in range(256)], dtype=np.uint64)
-_ODD = [np.uint64(xxhash.xxh3_64_intdigest(bytes([b]), seed=99) | 1) for b in range(16)]
+GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=97) for b in range(256)], dtype=np.uint64)
+#: Bits that a byte shifts the hash by; 19 bits of the oldest one are left.
+SHIFT = 3
 
 
-def cuts(data: bytes) -> np.ndarray:
+def _every(h: np.ndarray, size: int, of=np.minimum) -> np.ndarray:
+    """The least (by ``of``) of every ``size`` values that follow each other."""
+    width = 1
+    while 2 * width <= size:
+        h = of(h[:-width], h[width:])
+        width *= 2
+    return of(h[: len(h) - (size - width)], h[size - width :]) if size > width else h
+
+
+def cuts(data: bytes, min_bytes: int = MIN_BYTES) -> np.ndarray:
     """Ends of the chunks of ``data``, the last one included."""
-    n = len(data)
+    n, across = len(data), (min_bytes - WINDOW + 1) // 2
+    if n < WINDOW + across - 1:
+        return np.array([n] if n else [], dtype=np.int64)
     h = GEAR[np.frombuffer(data, dtype=np.uint8)]
     width = 1
     while width < WINDOW:  # the sum over 2 * width bytes from two sums over width bytes
-        shifted = h[:-width] << np.uint16(width) if n > width else h[:0]
-        h = h.copy()
-        h[width:] += shifted
+        h = h[width:] + (h[:-width] << np.uint64(SHIFT * width))
         width *= 2
-    ends = np.flatnonzero(h >> np.uint16(WINDOW - CUT_BITS) == 0) + 1
-    if not len(ends) or ends[-1] != n:
-        ends = np.append(ends, n)
-    gaps = np.diff(ends, prepend=0)
-    if gaps.max(initial=0) > MOST_BYTES:
-        long = np.flatnonzero(gaps > MOST_BYTES)
-        more = [np.arange(ends[i] - gaps[i] + MOST_BYTES, ends[i], MOST_BYTES) for i in long]
-        ends = np.sort(np.concatenate([ends, *more]))
-    return ends
-
-
-def _version(data: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(data) >> 33
-
-
-def _place(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Start and length (1 to 1024) in one number that sorts as the start; the lowest bit is for a known repeat
-    and bit 11 for a row that has repeats."""
-    return (start << 12) | ((length - 1) << 1)
-
-
-CHUNKS = "digest long, doc long, version long, place long"
-#: Set in the place of a row whose digest a later document is known to have.
-_SHARED = 1 << 11
-
-
-def _marked(d: np.ndarray, docs: np.ndarray, versions: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-    """Rows of a batch, with what is known from them alone: repeats, and first rows that have repeats."""
-    order = np.lexsort((p, versions, docs, d))
-    d_in, doc_in = d[order], docs[order]
-    new = np.append(True, d_in[1:] != d_in[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
-    again_in = doc_in != doc_in[first]
-    group = np.cumsum(new) - 1
-    shared = np.bincount(group, again_in)[group] > 0
-    again = np.zeros(len(d), dtype=np.int64)
-    again[order] = np.where(again_in, 1, np.where(shared, _SHARED, 0))
-    return pa.record_batch([pa.array(x) for x in (d, docs, versions, p | again)], names=["digest", "doc", "version", "place"])
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(digest: list, doc: list, version: list, place: list) -> pa.RecordBatch:
-        d, p = np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64), np.concatenate(place)
+    low = np.uint64((1 << 64 - CUT_BITS) - 1)
+    border = np.zeros(across - 1, dtype=np.uint64)  # windows beyond either end count for nothing
+    least = np.concatenate([border, _every(h, across), border])
+    at = np.flatnonzero((h <= low) | (_every(least, across, np.maximum) == h))
+    ends = _thinned(at, h[at], across) + WINDOW
+    return ends if ends[-1] == n else np.append(ends, n)
+
+
+def _thinned(at: np.ndarray, h: np.ndarray, across: int) -> np.ndarray:
+    """``at`` without most of the cuts in texts that repeat a word or a phrase: where each cut has the hash of the one ``k`` before it, at
+    one distance, the first and the last round of ``k`` stay, and others at most ``across`` bytes apart."""
+    for k in (1, 2, 3):
+        if len(at) <= k + 1:
+            break
+        index, border = np.arange(len(at)), np.zeros(k, dtype=bool)
+        gap = at[k:] - at[:-k]
+        goes_on = np.append(border, (h[k:] == h[:-k]) & (gap <= across))
+        goes_on[k + 1 :] &= ~goes_on[k:-1] | (gap[1:] == gap[:-1])
+        first = np.maximum.accumulate(np.where(goes_on, 0, index))  # the last one of the first round
+        step = np.maximum(1, across // gap[np.clip(first + 1 - k, 0, len(gap) - 1)])
+        keep = (index - first + k - 1) // k % step == 0
+        for j in range(1, k + 1):
+            keep |= np.append(~goes_on[j:], np.ones(j, dtype=bool))
+        at, h = at[keep], h[keep]
+    return at.astype(np.int64)
+
+
+#: ``place`` is a chunk's start and length in one number that sorts as the start; its lowest bit tells that the holder is known.
+CHUNKS = "digest long, doc long, version long, place long, holder long, holder_version long, holder_start long"
+REPEATS = "doc long, version long, start long, length long, holder long, holder_version long, holder_start long"
+_REPEATS = [c.split()[0] for c in REPEATS.split(", ")]
+
+
+def _holders(digest: np.ndarray, *of: np.ndarray, head: tuple | None = None) -> list[np.ndarray]:
+    """For rows (digest, doc, version, start) in this order: doc and version of the digest's first row, and the first, the middle and the last
+    place of the digest there. ``head`` has these for rows that go on with the digest of a batch before."""
+    doc, version, start = of
+    n = len(digest)
+    new = np.append(head is None, digest[1:] != digest[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+    begin = np.maximum(first, 0)
+    group = np.cumsum(new)
+    places = np.bincount(group, (doc == doc[begin]) & (version == version[begin])).astype(np.int64)[group]
+    found = [doc[begin], version[begin], start[begin], start[begin + (places - 1) // 2], start[begin + places - 1]]
+    return found if head is None else [np.where(first < 0, h, x) for h, x in zip(head, found)]
+
+
+def _with_known(digest: np.ndarray, doc: np.ndarray, version: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Rows of a batch; those whose digest a document before theirs has in this batch, with its first one there as holder, once for each
+    place that ``_holders`` gives."""
+    order = np.lexsort((place, version, doc, digest))
+    digest, doc, version, place = digest[order], doc[order], version[order], place[order]
+    holder, holder_version, *starts = _holders(digest, doc, version, place >> 12)
+    known = doc != holder
+    zero = np.zeros_like(doc)
+    out = [[x[~known] for x in (digest, doc, version, place, zero, zero, zero)]]
+    for start, pick in _apart(starts, known):
+        out.append([x[pick] for x in (digest, doc, version, place | 1, holder, holder_version, start)])
+    return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names=[c.split()[0] for c in CHUNKS.split(", ")])
+
+
+def _apart(starts: list[np.ndarray], rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each of ``starts`` (which go up) with those of ``rows`` where it is another one than before."""
+    before = None
+    for start in starts:
+        yield start, rows if before is None else rows & (start != before)
+        before = start
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
+    """(doc, version, bytes) of each row, one text at a time."""
+    text = batch.column("text").cast(pa.large_binary())
+    for i, (doc, version) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("version").to_pylist())):
+        yield doc, version, text[i].as_py()
+
+
+def _chunks(min_bytes: int):
+    def flush(digest: list, texts: list, place: list) -> pa.RecordBatch:
         sizes = [len(x) for x in place]
-        return _marked(d, *(np.repeat(np.array(x, dtype=np.int64), sizes) for x in (doc, version)), p)
+        docs, versions = (np.repeat(np.array([t[k] for t in texts], dtype=np.int64), sizes) for k in (0, 1))
+        return _with_known(np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64), docs, versions, np.concatenate(place))
 
-    digest_of = xxhash.xxh3_64_digest
-    for batch in batches:
-        held, kept = 0, ([], [], [], [])
-        for doc, data in rows(batch):
-            if doc is None or not data:
-                continue
-            version = _version(data)
-            ends = cuts(data).astype(np.int64)
-            starts = np.concatenate([[0], ends[:-1]])
-            kept[0].extend([digest_of(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
-            kept[1].append(doc)
-            kept[2].append(version)
-            kept[3].append(_place(starts, ends - starts))
-            held += len(ends)
-            if held > HELD:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest_of = xxhash.xxh3_64_digest
+        for batch in batches:
+            held, kept = 0, ([], [], [])
+            for doc, version, data in _texts(batch):
+                ends = cuts(data, min_bytes)[:-1] if len(data) >= min_bytes else ()
+                if len(ends) < 2:  # what is before the first cut and after the last one is no chunk of a passage
+                    continue
+                kept[0].extend([digest_of(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
+                kept[1].append((doc, version))
+                kept[2].append((ends[:-1] << 12) | ((np.diff(ends) - 1) << 1))
+                held += len(ends) - 1
+                if held > HELD:
+                    yield flush(*kept)
+                    held, kept = 0, ([], [], [])
+            if held:
                 yield flush(*kept)
-                held, kept = 0, ([], [], [], [])
-        if held:
-            yield flush(*kept)
+
+    return run
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (digest, doc, version, place): those whose digest a document before theirs has."""
-    last, first = None, None  # digest of the row before, and the first document of its group
+    """From rows sorted by (digest, doc, version, place): those with a holder, once for each place that ``_holders`` gives."""
+    last, head = None, None  # digest of the row before, and its holder
     for batch in batches:
         if not batch.num_rows:
             continue
-        digest, doc, version, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        new = np.append(last is None or digest[0] != last, digest[1:] != digest[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
-        origin = np.where(at < 0, 0 if first is None else first, doc[np.maximum(at, 0)])
-        repeat = ((place & 1) == 1) | (doc != origin)
-        last, first = digest[-1], origin[-1]
-        yield pa.record_batch(
-            [pa.array(a[repeat]) for a in (doc, version, place & ~(_SHARED | 1))], names=["doc", "version", "place"]
-        )
+        digest, doc, version, place, *holder = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        known = place & 1 == 1
+        out = [[x[known] for x in (doc, version, place, *holder)]]
+        if not known.all():  # known rows are dealt out apart from their digest, so only the others make groups
+            digest, doc, version, place = (x[~known] for x in (digest, doc, version, place))
+            goes_on = last is not None and digest[0] == last
+            holder, holder_version, *starts = found = _holders(digest, doc, version, place >> 12, head=head if goes_on else None)
+            out += [[x[pick] for x in (doc, version, place, holder, holder_version, at)] for at, pick in _apart(starts, doc != holder)]
+            last, head = digest[-1], tuple(x[-1] for x in found)
+        doc, version, place, *holder = (np.concatenate(x) for x in zip(*out))
+        values = [doc, version, place >> 12, ((place >> 1) & 1023) + 1, *holder]
+        yield pa.record_batch([pa.array(x) for x in values], names=_REPEATS)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From repeats sorted by (doc, version, holder, holder_version, start - holder_start, start): those that follow each other in both
+    texts, as one."""
+    open_ = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in _REPEATS]
+        if open_ is not None:
+            columns = [np.append(a, b) for a, b in zip(open_, columns)]
+        doc, version, start, length, holder, holder_version, holder_start = columns
+        same = [x[1:] == x[:-1] for x in (doc, version, holder, holder_version, start - holder_start)]
+        new = np.append(True, ~np.logical_and.reduce(same) | (start[1:] > (start + length)[:-1]))
+        begins = np.flatnonzero(new)
+        ends = np.append(begins[1:], len(doc)) - 1
+        columns = [c[begins] for c in columns]
+        columns[3] = (start + length)[ends] - columns[2]
+        open_ = [c[-1:] for c in columns]
+        yield pa.record_batch([pa.array(c[:-1]) for c in columns], names=_REPEATS)
+    if open_ is not None:
+        yield pa.record_batch([pa.array(c) for c in open_], names=_REPEATS)
+
+
+AROUNDS = "holder long, holder_version long, holder_start long, length long, own boolean, doc long, version long, start long, before binary, after binary"
+_KEY = ["holder", "holder_version", "holder_start", "length"]
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From texts with the segments asked of them: the bytes before (backwards) and after each, a length byte in front and zeros at
+    the end."""
+    reach = np.arange(AROUND)
+
+    def cells(inside: np.ndarray, found: np.ndarray) -> pa.Array:
+        full = np.hstack([np.minimum(inside, AROUND)[:, None].astype(np.uint8), found])
+        offsets = np.arange(len(full) + 1, dtype=np.int32) * (AROUND + 1)
+        return pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(offsets), pa.py_buffer(full.tobytes())])
 
+    for batch in batches:
+        asked = batch.column("asked")
+        for i, (doc, version, data) in enumerate(_texts(batch)):
+            of = asked[i].values.flatten()
+            names = [f.name for f in asked.type.value_type]
+            parts = {n: c.to_numpy(zero_copy_only=False) for n, c in zip(names, of)}
+            padded = np.concatenate([np.zeros(AROUND, np.uint8), np.frombuffer(data, np.uint8), np.zeros(AROUND, np.uint8)])
+            for at in range(0, len(parts["start"]), 8_192):
+                p = {n: c[at : at + 8_192] for n, c in parts.items()}
+                begin, end = p["at"], p["at"] + p["length"]
+                before = cells(begin, padded[begin[:, None] + (AROUND - 1) - reach])
+                after = cells(len(data) - end, padded[end[:, None] + AROUND + reach])
+                n = len(begin)
+                values = [*(p[k] for k in _KEY), p["own"], np.full(n, doc), np.full(n, version), p["start"]]
+                yield pa.record_batch([*(pa.array(v) for v in values), before, after], names=[c.split()[0] for c in AROUNDS.split(", ")])
 
-SPANS = "doc_id long, version long, start long, length long"
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), AROUND + 1)
 
-def _runs(min_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From rows sorted by (doc, version, place): runs of chunks that follow each other."""
-        open_run = None  # doc, version, start, end
 
-        def rows_of(done: list[tuple]) -> pa.RecordBatch:
-            done = [(d, v, s, e - s) for d, v, s, e in done if e - s >= min_bytes]
-            columns = list(zip(*done)) if done else [[]] * 4
-            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "version", "start", "length"])
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bytes are the same at the start of each pair of rows."""
+    other = a[:, 1:] != b[:, 1:]
+    same = np.where(other.any(axis=1), other.argmax(axis=1), AROUND)
+    return np.minimum(same, np.minimum(a[:, 0], b[:, 0])).astype(np.int64)
 
+
+SPANS = "doc_id long, version long, start long, length long"
+_SPANS = ["doc_id", "version", "start", "length"]
+
+
+def _passages(min_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by (key, own), the holder's row first: passages."""
+        held = None  # key and bytes of the last holder's row
         for batch in batches:
             if not batch.num_rows:
                 continue
-            doc, version, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            start, end = place >> 12, (place >> 12) + ((place >> 1) & 1023) + 1
-            other = np.append(False, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
-            text = np.cumsum(other) << 44  # ends go up within a text
-            end = np.maximum.accumulate(text | end) - text
-            new = other | np.append(True, start[1:] > end[:-1])
-            begins = np.flatnonzero(new)
-            ends = np.append(begins[1:], len(doc)) - 1
-            found = list(zip(doc[begins].tolist(), version[begins].tolist(), start[begins].tolist(), end[ends].tolist()))
-            if open_run is not None:
-                found.insert(0, open_run)
-                while len(found) > 1 and found[1][:2] == found[0][:2] and found[1][2] <= found[0][3]:
-                    found[:2] = [(*found[0][:3], max(found[0][3], found[1][3]))]
-            open_run = found.pop()
-            yield rows_of(found)
-        if open_run is not None:
-            yield rows_of([open_run])
+            own, doc, version, start, length = (
+                batch.column(n).to_numpy(zero_copy_only=False) for n in ("own", "doc", "version", "start", "length")
+            )
+            before, after = _bytes(batch.column("before")), _bytes(batch.column("after"))
+            at = np.maximum.accumulate(np.where(own, -1, np.arange(len(own))))
+            if held is None:
+                held = before[0], after[0]
+            left, right = (np.where((at < 0)[:, None], h, x[np.maximum(at, 0)]) for h, x in zip(held, (before, after)))
+            held = left[-1].copy(), right[-1].copy()
+            more = _alike(before, left)
+            whole = more + length + _alike(after, right)
+            found = own & (whole >= min_bytes)
+            values = [x[found] for x in (doc, version, start - more, whole)]
+            yield pa.record_batch([pa.array(v) for v in values], names=_SPANS)
 
     return run
 
 
-def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """doc_id, version, start and length (in bytes of UTF-8) of the passages that a document of smaller doc_id holds.
-
-    What repeats within one document alone is no repeated passage; neither is what rows that repeat a doc_id share, and
-    ``version`` tells their texts apart. Null and empty texts, and rows without doc_id, hold no passages. An empty table
-    gives no rows. Other columns are ignored.
-    """
-    known = F.when(F.col("place") % 2 == 1, F.xxhash64("doc", "place")).otherwise(F.col("digest"))
-    chunks = id_and_text(docs).mapInArrow(_chunks, CHUNKS)
-    sorted_ = chunks.repartition(known).sortWithinPartitions("digest", "doc", "version", "place")
-    again = sorted_.mapInArrow(_repeats, "doc long, version long, place long")
-    order = ["doc", "version", "place"]
-    return again.repartition("doc").sortWithinPartitions(*order).mapInArrow(_runs(min_bytes), SPANS)
-
-
-def _hash(data: bytes, size: int) -> list[np.ndarray]:
-    """Hashes of all windows of 1, 2, 4, ... up to ``size`` bytes."""
-    out = [_BYTE[np.frombuffer(data, dtype=np.uint8)]]
-    while (width := 1 << len(out) - 1) < size:
-        x = out[-1][:-width] * _ODD[len(out)] + out[-1][width:]
-        out.append(x ^ (x >> np.uint64(29)))
-    return out
-
-
-def _least(h: np.ndarray, size: int, of=np.minimum) -> np.ndarray:
-    """The least (by ``of``) of every ``size`` values that follow each other."""
-    width = 1
-    while 2 * width <= size:
-        h = of(h[:-width], h[width:])
-        width *= 2
-    return of(h[: len(h) - (size - width)], h[size - width :]) if size > width else h
-
-
-def seeds(data: bytes, min_bytes: int = MIN_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of seeds: each ``min_bytes`` bytes of ``data`` hold a seed with the least hash of all their windows.
-
-    Where a hash is the least at several places, as in a text that repeats a word, the first and the last in every block of
-    places do, as no block is longer than what is to hold one.
-    """
-    if len(data) < min_bytes:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    h, across = _hash(data, SEED)[-1], min_bytes - SEED + 1
-    low = np.zeros(across - 1, dtype=np.uint64)
-    least = np.concatenate([low, _least(h, across), low])
-    at = np.flatnonzero(_least(least, across, np.maximum) == h)
-    found = h[at]
-    edge = np.append(True, (found[1:] != found[:-1]) | (at[1:] // across != at[:-1] // across))
-    keep = edge | np.append(edge[1:], True)
-    return at[keep], found[keep].view(np.int64)
-
-
-def _windows_at(data: bytes, places: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the ``size`` bytes (``SEED`` to twice as many) at each of ``places``."""
-    h = _hash(data, SEED)[-1]
-    x = h[places] * _ODD[0] + h[places + size - SEED]
-    return (x ^ (x >> np.uint64(29))).view(np.int64)
-
-
-def _marked_batches(found: Iterator[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    """From (doc, version, starts, hashes) of texts: rows of many texts at a time."""
-    held, kept = 0, []
-
-    def flush() -> pa.RecordBatch:
-        sizes = [len(x[2]) for x in kept]
-        docs, versions = (np.repeat(np.array([x[k] for x in kept], dtype=np.int64), sizes) for k in (0, 1))
-        place = _place(np.concatenate([x[2] for x in kept]), length)
-        return _marked(np.concatenate([x[3] for x in kept]), docs, versions, place)
-
-    for row in found:
-        if len(row[2]):
-            kept.append(row)
-            held += len(row[2])
-        if held > HELD:
-            yield flush()
-            held, kept = 0, []
-    if held:
-        yield flush()
-
-
-SHARED = "digest long, doc long, version long, place long, repeat boolean"
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (digest, doc, version, place): those whose digest several documents have, and whether one before theirs has.
-
-    Rows of a digest's first document wait until a second one is met; those of one digest and document are kept at most.
-    """
-    names = ["digest", "doc", "version", "place"]
-    wait = None  # rows of the first document of the digest that the last batch ended in
-    last, first, met = None, None, False  # that digest, its first document, and whether a second one was met
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From passages sorted by (doc_id, version, start): those that overlap or touch, as one."""
+    open_ = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        if wait is not None:
-            columns = [np.concatenate([a, b]) for a, b in zip(wait, columns)]
-        digest, doc, version, place = columns
-        goes_on = wait is None and last is not None and digest[0] == last
-        new = np.append(not goes_on, digest[1:] != digest[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
-        origin = np.where(at < 0, 0 if first is None else first, doc[np.maximum(at, 0)])
-        repeat = ((place & 1) == 1) | (doc != origin)
-        group = np.cumsum(new)
-        shared = np.bincount(group, repeat | (place & _SHARED > 0))[group] > 0
-        if goes_on and met:
-            shared |= group == 0
-        tail = group == group[-1]
-        last, first, met = digest[-1], origin[-1], bool(shared[-1])
-        wait = None if met else [c[tail].copy() for c in columns]
-        if shared.any():
-            values = [digest, doc, version, place & ~(_SHARED | 1), repeat]
-            yield pa.record_batch([pa.array(a[shared]) for a in values], names=[*names, "repeat"])
-
-
-def _edges(across: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From rows sorted by (doc, version, place): adds which repeats are less than ``across`` bytes from the first or the last of
-        their run (the part of a run that is in a batch counts as one, so some more may be named)."""
-        for batch in batches:
-            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "version", "place", "repeat")]
-            doc, version, place = (c[columns[3]] for c in columns[:3])
-            edge = np.zeros(batch.num_rows, dtype=bool)
-            if len(doc):
-                start = place >> 12
-                new = np.append(True, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] > start[:-1] + SEED))
-                run, begins = np.cumsum(new) - 1, np.flatnonzero(new)
-                ends = np.append(begins[1:], len(doc)) - 1
-                edge[columns[3]] = (start - start[begins][run] < across) | (start[ends][run] - start < across)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edge)], names=[*batch.schema.names, "edge"])
-
-    return run
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in _SPANS]
+        if open_ is not None:
+            columns = [np.append(a, b) for a, b in zip(open_, columns)]
+        doc, version, start, length = columns
+        other = np.append(False, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
+        text = np.cumsum(other) << 44  # ends go up within a text
+        end = np.maximum.accumulate(text + start + length) - text
+        begins = np.flatnonzero(other | np.append(True, start[1:] > end[:-1]))
+        ends = np.append(begins[1:], len(doc)) - 1
+        columns = [doc[begins], version[begins], start[begins], end[ends] - start[begins]]
+        open_ = [c[-1:] for c in columns]
+        yield pa.record_batch([pa.array(c[:-1]) for c in columns], names=_SPANS)
+    if open_ is not None:
+        yield pa.record_batch([pa.array(c) for c in open_], names=_SPANS)
+
+
+def _version(text: Column) -> Column:
+    """Tells apart the texts of rows that repeat a doc_id."""
+    return F.shiftrightunsigned(F.xxhash64(text), 33)
 
 
 def whole_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """As ``repeated_passages``, but every passage of ``min_bytes`` bytes or more that an earlier document holds is found, from its
-    first byte to its last.
-
-    A run of seeds that earlier documents hold apart from each other counts as one passage if it is long enough.
-    """
-    if not SEED <= min_bytes <= 2 * SEED:
-        raise ValueError(f"min_bytes: {SEED} to {2 * SEED}")
+    """doc_id, version, start and length (in bytes of UTF-8) of the passages of ``min_bytes`` bytes (64 to 128) or more that a document
+    of smaller doc_id holds, from their first byte to their last.
 
-    def seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = ((i, data) for i, data in rows(batch) if i is not None and data)
-            yield from _marked_batches(((i, _version(data), *seeds(data, min_bytes)) for i, data in texts), SEED)
-
-    def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(batch: pa.RecordBatch) -> Iterator[tuple]:
-            for (i, data), asked in zip(rows(batch), batch.column("asked")):
-                version = _version(data) if data else None
-                own = np.array([x["start"] for x in asked.as_py() if x["version"] == version], dtype=np.int64)
-                if len(own):
-                    some = np.unique(own[:, None] - np.arange(min_bytes - SEED + 1))
-                    some = some[(some >= 0) & (some <= len(data) - min_bytes)]
-                    yield i, version, some, _windows_at(data, some, min_bytes)
+    What repeats within one document alone is no repeated passage; neither is what rows that repeat a doc_id share, and
+    ``version`` tells their texts apart. Null and empty texts, and rows without doc_id, hold no passages. An empty table
+    gives no rows. Other columns are ignored. Passages that overlap or touch come as one.
 
-        for batch in batches:
-            yield from _marked_batches(found(batch), min_bytes)
-
-    def dealt(table: DataFrame) -> DataFrame:
-        known = F.when(F.col("place") % 2 == 1, F.xxhash64("doc", "place")).otherwise(F.col("digest"))
-        return table.repartition(known).sortWithinPartitions("digest", "doc", "version", "place")
-
-    order, texts = ["doc", "version", "place"], id_and_text(docs)
-    shared = dealt(texts.mapInArrow(seed_rows, CHUNKS)).mapInArrow(_shared, SHARED).repartition("doc").sortWithinPartitions(*order)
-    shared = cut_lineage(shared.mapInArrow(_edges(min_bytes - SEED + 1), SHARED + ", edge boolean"))
-    ends = small_side(shared.where("edge").select("digest").distinct())
-    asked = shared.join(ends, "digest", "left_semi").groupBy(F.col("doc").alias("_id")).agg(
-        F.collect_set(F.struct("version", F.shiftright("place", 12).alias("start"))).alias("asked")
-    )
-    asked = small_side(cut_lineage(asked), 20_000)
-    windows = texts.join(asked, F.col("doc_id") == F.col("_id")).drop("_id").mapInArrow(window_rows, CHUNKS)
-    again = dealt(windows).mapInArrow(_repeats, "doc long, version long, place long")
-    both = shared.where("repeat").select(*order).unionByName(again)
-    return both.repartition("doc").sortWithinPartitions(*order).mapInArrow(_runs(min_bytes), SPANS)
+    A passage is missed in part only where two or more other documents, one after the other, are the first to hold its chunks for
+    more than ``AROUND`` bytes and none of them shares ``min_bytes`` bytes with it.
+    """
+    if not 64 <= min_bytes <= 128:
+        raise ValueError("min_bytes: 64 to 128")
+    texts = id_and_text(docs).select(F.col("doc_id").alias("doc"), _version(F.col("text")).alias("version"), "text")
+    texts = texts.where("doc is not null and text is not null")
+    alone = F.when(F.col("place") % 2 == 1, F.xxhash64("doc", "place")).otherwise(F.col("digest"))
+    chunks = texts.where(F.octet_length("text") >= min_bytes).mapInArrow(_chunks(min_bytes), CHUNKS)
+    repeats = chunks.repartition(alone).sortWithinPartitions("digest", "doc", "version", "place").mapInArrow(_repeats, REPEATS)
+    diagonal = F.col("start") - F.col("holder_start")
+    in_line = repeats.repartition("doc").sortWithinPartitions("doc", "version", "holder", "holder_version", diagonal, "start")
+    segments = cut_lineage(in_line.mapInArrow(_joined, REPEATS))
+    key = [F.col(c) for c in _KEY]
+    asks = segments.select(
+        "doc", "version", F.struct(*key, F.lit(True).alias("own"), "start", F.col("start").alias("at")).alias("ask")
+    ).unionByName(
+        segments.select(
+            F.col("holder").alias("doc"), F.col("holder_version").alias("version"),
+            F.struct(*key, F.lit(False).alias("own"), F.lit(0).cast("long").alias("start"), F.col("holder_start").alias("at")).alias("ask"),
+        )
+    )
+    asked = asks.groupBy("doc", "version").agg(F.collect_set("ask").alias("asked"))
+    around = texts.join(asked.hint("merge"), ["doc", "version"]).mapInArrow(_around, AROUNDS)
+    dealt = around.repartition(*_KEY).sortWithinPartitions(*_KEY, "own")
+    found = dealt.mapInArrow(_passages(min_bytes), SPANS)
+    return found.repartition("doc_id").sortWithinPartitions("doc_id", "version", "start").mapInArrow(_merged, SPANS)
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; ``n_chars``, if there, follows the text of changed rows.
 
-    Every row and all other columns stay, also where nothing of a text is left. The first occurrence of a passage stays.
+    Every row and all other columns stay, also where nothing of a text is left. The first occurrence of a passage stays. Passages
+    are those of ``whole_passages``, drawn in to whole characters.
     """
-    spans = repeated_passages(docs, min_bytes)
-    listed = spans.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_list(F.struct("version", "start", "length"))).alias("_cut")
+    spans = whole_passages(docs, min_bytes)
+    listed = cut_lineage(
+        spans.groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg(
+            F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_cut")
+        )
     )
-    listed = small_side(cut_lineage(listed), 20_000)
-    found = docs.join(listed, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (_version(F.col("text").cast("string")) == F.col("_version"))
+    found = docs.join(listed.hint("merge"), same, "left").drop("_id", "_version")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for value, spans in zip(batch.column("text").cast(pa.large_binary()), batch.column("_cut")):
-                data, some = value.as_py(), spans.as_py()
-                out.append(_cut(data, some) if data and some else data)
+                out.append(_cut(value.as_py(), spans.as_py()))
             text = pa.array(out, pa.large_binary()).cast(pa.large_string()).cast(batch.schema.field("text").type)
             keep = [text if n == "text" else batch.column(n) for n in batch.schema.names]
             yield pa.record_batch(keep, names=batch.schema.names).drop_columns(["_cut"])
@@ -387,11 +379,8 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def _cut(data: bytes, spans: list[dict]) -> bytes:
     """``data`` without its spans, each drawn in to whole characters."""
-    version = _version(data)
     out, at = [], 0
     for s in spans:
-        if s["version"] != version:
-            continue
         a, b = s["start"], s["start"] + s["length"]
         while a < b and data[a] & 0xC0 == 0x80:
             a += 1
