@@ -56,20 +56,35 @@ def _every(h: np.ndarray, size: int, of=np.minimum) -> np.ndarray:
 
 def cuts(data: bytes, min_bytes: int = MIN_BYTES) -> np.ndarray:
     """Ends of the chunks of ``data``, the last one included."""
-    n, across = len(data), (min_bytes - WINDOW + 1) // 2
-    if n < WINDOW + across - 1:
-        return np.array([n] if n else [], dtype=np.int64)
+    ends, n = _cuts(data, min_bytes)[0], len(data)
+    return ends if not n or len(ends) and ends[-1] == n else np.append(ends, n)
+
+
+def _cuts(data: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cuts, and which of them hang on the last ``WINDOW`` bytes alone."""
+    across = (min_bytes - WINDOW + 1) // 2
+    if len(data) < WINDOW + across - 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
     h = GEAR[np.frombuffer(data, dtype=np.uint8)]
     width = 1
     while width < WINDOW:  # the sum over 2 * width bytes from two sums over width bytes
         h = h[width:] + (h[:-width] << np.uint64(SHIFT * width))
         width *= 2
-    low = np.uint64((1 << 64 - CUT_BITS) - 1)
+    low = h <= np.uint64((1 << 64 - CUT_BITS) - 1)
     border = np.zeros(across - 1, dtype=np.uint64)  # windows beyond either end count for nothing
     least = np.concatenate([border, _every(h, across), border])
-    at = np.flatnonzero((h <= low) | (_every(least, across, np.maximum) == h))
-    ends = _thinned(at, h[at], across) + WINDOW
-    return ends if ends[-1] == n else np.append(ends, n)
+    at = np.flatnonzero(low | (_every(least, across, np.maximum) == h))
+    kept = _thinned(at, h[at], across)
+    return kept + WINDOW, low[kept] & (len(kept) == len(at))
+
+
+def _reach(ends: np.ndarray, sure: np.ndarray, n: int, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far a passage can go on before and after each chunk if the chunk on that side is no repeat."""
+    across = (min_bytes - WINDOW + 1) // 2
+    size = np.diff(ends)
+    before = np.append(ends[0], np.where(sure[:-2], size[:-1] + WINDOW - 1, MOST_BYTES))
+    after = np.append(np.where(sure[2:], size[1:] - 1, MOST_BYTES), n - ends[-1])
+    return np.minimum(before, WINDOW + across - 1), np.minimum(after, across - 1)
 
 
 def _thinned(at: np.ndarray, h: np.ndarray, across: int) -> np.ndarray:
@@ -91,10 +106,16 @@ def _thinned(at: np.ndarray, h: np.ndarray, across: int) -> np.ndarray:
     return at.astype(np.int64)
 
 
-#: ``place`` is a chunk's start and length in one number that sorts as the start; its lowest bit tells that the holder is known.
+#: ``place`` is a chunk's start, its reach before and after, and its length in one number that sorts as the start; its lowest bit tells
+#: that the holder is known.
 CHUNKS = "digest long, doc long, version long, place long, holder long, holder_version long, holder_start long"
-REPEATS = "doc long, version long, start long, length long, holder long, holder_version long, holder_start long"
+REPEATS = "doc long, version long, start long, length long, holder long, holder_version long, holder_start long, before long, after long"
 _REPEATS = [c.split()[0] for c in REPEATS.split(", ")]
+_START = 22
+
+
+def _place(ends: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return (ends[:-1] << _START) | (before << 15) | (after << 8) | ((np.diff(ends) - 1) << 1)
 
 
 def _holders(digest: np.ndarray, *of: np.ndarray, head: tuple | None = None) -> list[np.ndarray]:
@@ -112,11 +133,13 @@ def _holders(digest: np.ndarray, *of: np.ndarray, head: tuple | None = None) ->
 
 
 def _with_known(digest: np.ndarray, doc: np.ndarray, version: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """Rows of a batch; those whose digest a document before theirs has in this batch, with its first one there as holder, once for each
+    """Rows (in the order of doc, version and place) of a batch; those whose digest a document before theirs has in this batch, with its first one there as holder, once for each
     place that ``_holders`` gives."""
-    order = np.lexsort((place, version, doc, digest))
-    digest, doc, version, place = digest[order], doc[order], version[order], place[order]
-    holder, holder_version, *starts = _holders(digest, doc, version, place >> 12)
+    order = np.argsort(digest, kind="stable")
+    found = _holders(digest[order], doc[order], version[order], place[order] >> _START)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    holder, holder_version, *starts = (x[back] for x in found)
     known = doc != holder
     zero = np.zeros_like(doc)
     out = [[x[~known] for x in (digest, doc, version, place, zero, zero, zero)]]
@@ -150,13 +173,13 @@ def _chunks(min_bytes: int):
         digest_of = xxhash.xxh3_64_digest
         for batch in batches:
             held, kept = 0, ([], [], [])
-            for doc, version, data in _texts(batch):
-                ends = cuts(data, min_bytes)[:-1] if len(data) >= min_bytes else ()
+            for doc, version, data in _texts(batch.sort_by([("doc", "ascending"), ("version", "ascending")])):
+                ends, sure = _cuts(data, min_bytes)
                 if len(ends) < 2:  # what is before the first cut and after the last one is no chunk of a passage
                     continue
                 kept[0].extend([digest_of(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
                 kept[1].append((doc, version))
-                kept[2].append((ends[:-1] << 12) | ((np.diff(ends) - 1) << 1))
+                kept[2].append(_place(ends, *_reach(ends, sure, len(data), min_bytes)))
                 held += len(ends) - 1
                 if held > HELD:
                     yield flush(*kept)
@@ -179,14 +202,51 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not known.all():  # known rows are dealt out apart from their digest, so only the others make groups
             digest, doc, version, place = (x[~known] for x in (digest, doc, version, place))
             goes_on = last is not None and digest[0] == last
-            holder, holder_version, *starts = found = _holders(digest, doc, version, place >> 12, head=head if goes_on else None)
+            holder, holder_version, *starts = found = _holders(digest, doc, version, place >> _START, head=head if goes_on else None)
             out += [[x[pick] for x in (doc, version, place, holder, holder_version, at)] for at, pick in _apart(starts, doc != holder)]
             last, head = digest[-1], tuple(x[-1] for x in found)
         doc, version, place, *holder = (np.concatenate(x) for x in zip(*out))
-        values = [doc, version, place >> 12, ((place >> 1) & 1023) + 1, *holder]
+        values = [doc, version, place >> _START, ((place >> 1) & 127) + 1, *holder, (place >> 15) & 127, (place >> 8) & 127]
         yield pa.record_batch([pa.array(x) for x in values], names=_REPEATS)
 
 
+def _long_runs(min_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From repeats sorted by (doc, version, start): those in runs that, with their reach, may belong to a passage. Within a run the
+        bytes to compare are ``AROUND``, as other holders may follow."""
+        short = None  # rows of the last run while it is too short
+        tail = None  # doc, version and end of the last run, if it is long enough
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in _REPEATS]
+            if short is not None:
+                columns = [np.append(a, b) for a, b in zip(short, columns)]
+            doc, version, start, length, before, after = (columns[i] for i in (0, 1, 2, 3, 7, 8))
+            other = np.append(False, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
+            text = np.cumsum(other) << 44
+            end = np.maximum.accumulate(text + start + length) - text
+            new = other | np.append(True, start[1:] > end[:-1])
+            begins, of = np.flatnonzero(new), np.cumsum(new) - 1
+            ends = np.append(begins[1:], len(doc)) - 1
+            first, last = start[begins], end[ends]
+            goes_on = tail is not None and tail[:2] == (doc[0], version[0]) and start[0] <= tail[2]
+            whole = last - first + before[begins] + after[ends] >= min_bytes
+            whole[0] |= goes_on
+            edge = start == first[of]
+            edge[of == 0] &= not goes_on
+            before, after = np.where(edge, before, AROUND), np.where(start + length == last[of], after, AROUND)
+            keep = whole[of]
+            after[of == len(begins) - 1] = AROUND  # the run may go on
+            open_ = [c[begins[-1] :] for c in columns]
+            short = None if whole[-1] else open_
+            tail = (doc[-1], version[-1], end[-1]) if whole[-1] else None
+            values = [*columns[:7], -(-before // 16) * 16, -(-after // 16) * 16]
+            yield pa.record_batch([pa.array(v[keep]) for v in values], names=_REPEATS)
+
+    return run
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From repeats sorted by (doc, version, holder, holder_version, start - holder_start, start): those that follow each other in both
     texts, as one."""
@@ -197,32 +257,34 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in _REPEATS]
         if open_ is not None:
             columns = [np.append(a, b) for a, b in zip(open_, columns)]
-        doc, version, start, length, holder, holder_version, holder_start = columns
+        doc, version, start, length, holder, holder_version, holder_start = columns[:7]
         same = [x[1:] == x[:-1] for x in (doc, version, holder, holder_version, start - holder_start)]
         new = np.append(True, ~np.logical_and.reduce(same) | (start[1:] > (start + length)[:-1]))
         begins = np.flatnonzero(new)
         ends = np.append(begins[1:], len(doc)) - 1
+        after = columns[8][ends]
         columns = [c[begins] for c in columns]
-        columns[3] = (start + length)[ends] - columns[2]
+        columns[3], columns[8] = (start + length)[ends] - columns[2], after
         open_ = [c[-1:] for c in columns]
         yield pa.record_batch([pa.array(c[:-1]) for c in columns], names=_REPEATS)
     if open_ is not None:
         yield pa.record_batch([pa.array(c) for c in open_], names=_REPEATS)
 
 
-AROUNDS = "holder long, holder_version long, holder_start long, length long, own boolean, doc long, version long, start long, before binary, after binary"
-_KEY = ["holder", "holder_version", "holder_start", "length"]
+_KEY = ["holder", "holder_version", "holder_start", "length", "before", "after"]
+AROUNDS = "".join(f"{k} long, " for k in _KEY) + "own boolean, doc long, version long, start long, left binary, right binary"
 
 
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From texts with the segments asked of them: the bytes before (backwards) and after each, a length byte in front and zeros at
-    the end."""
+    """From texts with the segments asked of them: as many bytes before (backwards) and after each as the segment needs, zeros where
+    the text ends, and in front the number of bytes that are none of these."""
     reach = np.arange(AROUND)
 
-    def cells(inside: np.ndarray, found: np.ndarray) -> pa.Array:
-        full = np.hstack([np.minimum(inside, AROUND)[:, None].astype(np.uint8), found])
-        offsets = np.arange(len(full) + 1, dtype=np.int32) * (AROUND + 1)
-        return pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(offsets), pa.py_buffer(full.tobytes())])
+    def cells(inside: np.ndarray, need: np.ndarray, found: np.ndarray) -> pa.Array:
+        full = np.hstack([np.minimum(inside, need)[:, None].astype(np.uint8), found])
+        use = np.append(-1, reach) < need[:, None]
+        offsets = np.append(0, np.cumsum(need + 1)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(offsets), pa.py_buffer(full[use].tobytes())])
 
     for batch in batches:
         asked = batch.column("asked")
@@ -234,15 +296,15 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(parts["start"]), 8_192):
                 p = {n: c[at : at + 8_192] for n, c in parts.items()}
                 begin, end = p["at"], p["at"] + p["length"]
-                before = cells(begin, padded[begin[:, None] + (AROUND - 1) - reach])
-                after = cells(len(data) - end, padded[end[:, None] + AROUND + reach])
+                left = cells(begin, p["before"], padded[begin[:, None] + (AROUND - 1) - reach])
+                right = cells(len(data) - end, p["after"], padded[end[:, None] + AROUND + reach])
                 n = len(begin)
                 values = [*(p[k] for k in _KEY), p["own"], np.full(n, doc), np.full(n, version), p["start"]]
-                yield pa.record_batch([*(pa.array(v) for v in values), before, after], names=[c.split()[0] for c in AROUNDS.split(", ")])
+                yield pa.record_batch([*(pa.array(v) for v in values), left, right], names=[c.split()[0] for c in AROUNDS.split(", ")])
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), AROUND + 1)
+    return np.frombuffer(b"".join(x.ljust(AROUND + 1, b"\0") for x in column.to_pylist()), dtype=np.uint8).reshape(len(column), AROUND + 1)
 
 
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -266,7 +328,7 @@ def _passages(min_bytes: int):
             own, doc, version, start, length = (
                 batch.column(n).to_numpy(zero_copy_only=False) for n in ("own", "doc", "version", "start", "length")
             )
-            before, after = _bytes(batch.column("before")), _bytes(batch.column("after"))
+            before, after = _bytes(batch.column("left")), _bytes(batch.column("right"))
             at = np.maximum.accumulate(np.where(own, -1, np.arange(len(own))))
             if held is None:
                 held = before[0], after[0]
@@ -327,9 +389,10 @@ def whole_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     chunks = texts.where(F.octet_length("text") >= min_bytes).mapInArrow(_chunks(min_bytes), CHUNKS)
     repeats = chunks.repartition(alone).sortWithinPartitions("digest", "doc", "version", "place").mapInArrow(_repeats, REPEATS)
     diagonal = F.col("start") - F.col("holder_start")
-    in_line = repeats.repartition("doc").sortWithinPartitions("doc", "version", "holder", "holder_version", diagonal, "start")
+    in_runs = repeats.repartition("doc").sortWithinPartitions("doc", "version", "start", "length").mapInArrow(_long_runs(min_bytes), REPEATS)
+    in_line = in_runs.sortWithinPartitions("doc", "version", "holder", "holder_version", diagonal, "start")
     segments = cut_lineage(in_line.mapInArrow(_joined, REPEATS))
-    key = [F.col(c) for c in _KEY]
+    key = [F.col(c) for c in _KEY]  # it has the bytes needed, so that a holder's row has as many as its repeats'
     asks = segments.select(
         "doc", "version", F.struct(*key, F.lit(True).alias("own"), "start", F.col("start").alias("at")).alias("ask")
     ).unionByName(
