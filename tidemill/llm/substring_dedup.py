@@ -41,6 +41,7 @@ AROUND = 160
 HELD = 400_000
 #: The value that each byte adds, from one rule.
 GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=97) for b in range(256)], dtype=np.uint64)
+_ODD = np.uint64(xxhash.xxh3_64_intdigest(b"side", seed=99) | 1)
 #: Bits that a byte shifts the hash by; 19 bits of the oldest one are left.
 SHIFT = 3
 
@@ -60,11 +61,11 @@ def cuts(data: bytes, min_bytes: int = MIN_BYTES) -> np.ndarray:
     return ends if not n or len(ends) and ends[-1] == n else np.append(ends, n)
 
 
-def _cuts(data: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cuts, and which of them hang on the last ``WINDOW`` bytes alone."""
+def _cuts(data: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts, which of them hang on the last ``WINDOW`` bytes alone, and the hash of every ``WINDOW`` bytes."""
     across = (min_bytes - WINDOW + 1) // 2
     if len(data) < WINDOW + across - 1:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), GEAR[:0]
     h = GEAR[np.frombuffer(data, dtype=np.uint8)]
     width = 1
     while width < WINDOW:  # the sum over 2 * width bytes from two sums over width bytes
@@ -75,7 +76,7 @@ def _cuts(data: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
     least = np.concatenate([border, _every(h, across), border])
     at = np.flatnonzero(low | (_every(least, across, np.maximum) == h))
     kept = _thinned(at, h[at], across)
-    return kept + WINDOW, low[kept] & (len(kept) == len(at))
+    return kept + WINDOW, low[kept] & (len(kept) == len(at)), h
 
 
 def _reach(ends: np.ndarray, sure: np.ndarray, n: int, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +88,28 @@ def _reach(ends: np.ndarray, sure: np.ndarray, n: int, min_bytes: int) -> tuple[
     return np.minimum(before, WINDOW + across - 1), np.minimum(after, across - 1)
 
 
+def _sides(ends: np.ndarray, h: np.ndarray, min_bytes: int) -> np.ndarray:
+    """Two small hashes (0: the text ends there) of the bytes before and after each chunk. As a chunk has no more than ``across`` bytes, a
+    passage has half of the others, so many, on one side of it at least."""
+    across = (min_bytes - WINDOW + 1) // 2
+    some = (min_bytes - across) // 2
+
+    def small(end: np.ndarray) -> np.ndarray:
+        """Of the ``some`` bytes (``WINDOW`` to twice as many) up to ``end``."""
+        inside = (end >= some) & (end - WINDOW < len(h))
+        at = np.where(inside, end, some if len(h) > some - WINDOW else WINDOW) - WINDOW
+        x = h[at] * _ODD + h[np.maximum(at - (some - WINDOW), 0)]
+        return np.where(inside, 1 + ((x ^ (x >> np.uint64(29))) * _ODD >> np.uint64(40)).astype(np.int64) % 255, 0)
+
+    return (small(ends[:-1]) << 8) | small(ends[1:] + some)
+
+
+def _beside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the bytes before or those after are alike, going by the hashes of ``_sides``."""
+    alike = a ^ b
+    return ((alike >> 8 == 0) & (a >> 8 != 0)) | ((alike & 255 == 0) & (a & 255 != 0))
+
+
 def _thinned(at: np.ndarray, h: np.ndarray, across: int) -> np.ndarray:
     """``at`` without most of the cuts in texts that repeat a word or a phrase: where each cut has the hash of the one ``k`` before it, at
     one distance, the first and the last round of ``k`` stay, and others at most ``across`` bytes apart."""
@@ -107,7 +130,8 @@ def _thinned(at: np.ndarray, h: np.ndarray, across: int) -> np.ndarray:
 
 
 #: ``place`` is a chunk's start, its reach before and after, and its length in one number that sorts as the start; its lowest bit tells
-#: that the holder is known.
+#: that the holder is known. Where it is not, ``holder`` has the hashes of the sides. A ``holder_start`` of -1 tells that some document
+#: holds the chunk, but no passage around it.
 CHUNKS = "digest long, doc long, version long, place long, holder long, holder_version long, holder_start long"
 REPEATS = "doc long, version long, start long, length long, holder long, holder_version long, holder_start long, before long, after long"
 _REPEATS = [c.split()[0] for c in REPEATS.split(", ")]
@@ -119,41 +143,42 @@ def _place(ends: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarra
 
 
 def _holders(digest: np.ndarray, *of: np.ndarray, head: tuple | None = None) -> list[np.ndarray]:
-    """For rows (digest, doc, version, start) in this order: doc and version of the digest's first row, and the first, the middle and the last
-    place of the digest there. ``head`` has these for rows that go on with the digest of a batch before."""
-    doc, version, start = of
+    """For rows (digest, doc, version, start, sides) in this order: doc and version of the digest's first row, the first, the middle and the
+    last place of the digest there, and their sides. ``head`` has these for rows that go on with the digest of a batch before."""
+    doc, version, start, sides = of
     n = len(digest)
     new = np.append(head is None, digest[1:] != digest[:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(n), -1))
     begin = np.maximum(first, 0)
     group = np.cumsum(new)
     places = np.bincount(group, (doc == doc[begin]) & (version == version[begin])).astype(np.int64)[group]
-    found = [doc[begin], version[begin], start[begin], start[begin + (places - 1) // 2], start[begin + places - 1]]
+    at = [begin, begin + (places - 1) // 2, begin + places - 1]
+    found = [doc[begin], version[begin], *(start[i] for i in at), *(sides[i] for i in at)]
     return found if head is None else [np.where(first < 0, h, x) for h, x in zip(head, found)]
 
 
-def _with_known(digest: np.ndarray, doc: np.ndarray, version: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """Rows (in the order of doc, version and place) of a batch; those whose digest a document before theirs has in this batch, with its first one there as holder, once for each
-    place that ``_holders`` gives."""
+def _with_known(digest: np.ndarray, doc: np.ndarray, version: np.ndarray, place: np.ndarray, sides: np.ndarray) -> pa.RecordBatch:
+    """Rows (in the order of doc, version and place) of a batch; those whose digest a document before theirs has in this batch, with its
+    first one there as holder, once for each place that ``_holders`` gives."""
     order = np.argsort(digest, kind="stable")
-    found = _holders(digest[order], doc[order], version[order], place[order] >> _START)
+    found = _holders(digest[order], doc[order], version[order], place[order] >> _START, sides[order])
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    holder, holder_version, *starts = (x[back] for x in found)
+    holder, holder_version, *places = (x[back] for x in found)
     known = doc != holder
     zero = np.zeros_like(doc)
-    out = [[x[~known] for x in (digest, doc, version, place, zero, zero, zero)]]
-    for start, pick in _apart(starts, known):
+    out = [[x[~known] for x in (digest, doc, version, place, sides, zero, zero)]]
+    for start, pick in _apart(places, known, sides):
         out.append([x[pick] for x in (digest, doc, version, place | 1, holder, holder_version, start)])
     return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names=[c.split()[0] for c in CHUNKS.split(", ")])
 
 
-def _apart(starts: list[np.ndarray], rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each of ``starts`` (which go up) with those of ``rows`` where it is another one than before."""
-    before = None
-    for start in starts:
-        yield start, rows if before is None else rows & (start != before)
-        before = start
+def _apart(places: list[np.ndarray], rows: np.ndarray, sides: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The first, the middle and the last start of ``places`` with those of ``rows`` to be compared there; the first, or -1, with all."""
+    starts, beside = places[:3], [_beside(sides, x) for x in places[3:]]
+    yield np.where(beside[0], starts[0], -1), rows
+    for k in (1, 2):
+        yield starts[k], rows & beside[k] & (starts[k] != starts[k - 1])
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
@@ -164,26 +189,27 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _chunks(min_bytes: int):
-    def flush(digest: list, texts: list, place: list) -> pa.RecordBatch:
+    def flush(digest: list, texts: list, place: list, sides: list) -> pa.RecordBatch:
         sizes = [len(x) for x in place]
         docs, versions = (np.repeat(np.array([t[k] for t in texts], dtype=np.int64), sizes) for k in (0, 1))
-        return _with_known(np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64), docs, versions, np.concatenate(place))
+        return _with_known(np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64), docs, versions, np.concatenate(place), np.concatenate(sides))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest_of = xxhash.xxh3_64_digest
         for batch in batches:
-            held, kept = 0, ([], [], [])
+            held, kept = 0, ([], [], [], [])
             for doc, version, data in _texts(batch.sort_by([("doc", "ascending"), ("version", "ascending")])):
-                ends, sure = _cuts(data, min_bytes)
+                ends, sure, h = _cuts(data, min_bytes)
                 if len(ends) < 2:  # what is before the first cut and after the last one is no chunk of a passage
                     continue
                 kept[0].extend([digest_of(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
                 kept[1].append((doc, version))
+                kept[3].append(_sides(ends, h, min_bytes))
                 kept[2].append(_place(ends, *_reach(ends, sure, len(data), min_bytes)))
                 held += len(ends) - 1
                 if held > HELD:
                     yield flush(*kept)
-                    held, kept = 0, ([], [], [])
+                    held, kept = 0, ([], [], [], [])
             if held:
                 yield flush(*kept)
 
@@ -200,10 +226,11 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = place & 1 == 1
         out = [[x[known] for x in (doc, version, place, *holder)]]
         if not known.all():  # known rows are dealt out apart from their digest, so only the others make groups
-            digest, doc, version, place = (x[~known] for x in (digest, doc, version, place))
+            digest, doc, version, place, sides = (x[~known] for x in (digest, doc, version, place, holder[0]))
             goes_on = last is not None and digest[0] == last
-            holder, holder_version, *starts = found = _holders(digest, doc, version, place >> _START, head=head if goes_on else None)
-            out += [[x[pick] for x in (doc, version, place, holder, holder_version, at)] for at, pick in _apart(starts, doc != holder)]
+            found = _holders(digest, doc, version, place >> _START, sides, head=head if goes_on else None)
+            holder, holder_version, *places = found
+            out += [[x[pick] for x in (doc, version, place, holder, holder_version, at)] for at, pick in _apart(places, doc != holder, sides)]
             last, head = digest[-1], tuple(x[-1] for x in found)
         doc, version, place, *holder = (np.concatenate(x) for x in zip(*out))
         values = [doc, version, place >> _START, ((place >> 1) & 127) + 1, *holder, (place >> 15) & 127, (place >> 8) & 127]
@@ -236,7 +263,7 @@ def _long_runs(min_bytes: int):
             edge = start == first[of]
             edge[of == 0] &= not goes_on
             before, after = np.where(edge, before, AROUND), np.where(start + length == last[of], after, AROUND)
-            keep = whole[of]
+            keep = whole[of] & (columns[6] >= 0)
             after[of == len(begins) - 1] = AROUND  # the run may go on
             open_ = [c[begins[-1] :] for c in columns]
             short = None if whole[-1] else open_
