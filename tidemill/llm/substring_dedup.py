@@ -405,8 +405,8 @@ def whole_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     ``version`` tells their texts apart. Null and empty texts, and rows without doc_id, hold no passages. An empty table
     gives no rows. Other columns are ignored. Passages that overlap or touch come as one.
 
-    A passage is missed in part only where two or more other documents, one after the other, are the first to hold its chunks for
-    more than ``AROUND`` bytes and none of them shares ``min_bytes`` bytes with it.
+    A passage is followed as far as it agrees with the first holder of one of its chunks. Bytes at an end that only a later holder shares
+    are not found, and a short passage is missed where each of its chunks is first held by a document that does not share it.
     """
     if not 64 <= min_bytes <= 128:
         raise ValueError("min_bytes: 64 to 128")
