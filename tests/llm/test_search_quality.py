@@ -71,6 +71,32 @@ def test_recall_by_bound():
         assert picked / (20 * 2000) < 0.9
 
 
+def test_layers_leave_little_to_work_out():
+    """Vectors without any structure: codes of four layers send few pairs to the exact stage, and lose none of the 20 nearest."""
+    rng = np.random.default_rng(11)
+    base, ids, turn = rng.standard_normal((4000, 64)), np.arange(4000)[::-1].copy(), O.rotation(64)
+    asked = np.flatnonzero(ids % 20 == 0)
+    whole = base[asked] @ base.T
+    whole[np.arange(len(asked)), asked] = -np.inf
+    shares = {}
+    for layers in (1, 4):
+        codes = O.encode(base, turn, layers)
+        assert codes[0].shape == (4000, 8 * layers)
+        found, taken = O.block_best(ids[asked], base[asked], ids, base, codes, 20, O.BOUND, turn)
+        got = np.concatenate([f[1] for f in found]).reshape(-1, 20)
+        assert np.array_equal(got, ids[np.argsort(-whole, axis=1)[:, :20]])
+        shares[layers] = taken / whole.size
+    assert shares[4] < 0.08 < 0.5 < shares[1]
+
+
+def test_query_that_is_no_candidate_and_block_smaller_than_k():
+    base, turn = np.random.default_rng(5).standard_normal((6, 16)), O.rotation(16)
+    ids, query = np.arange(6) * 3, base[:2] * 2
+    found, _ = O.block_best(np.array([0, 100]), query, ids, base, O.encode(base, turn, 2), 20, O.BOUND, turn)
+    pairs = [(q, i) for f in found for q, i in zip(f[0].tolist(), f[1].tolist())]
+    assert sorted(pairs) == [(0, i) for i in ids[1:]] + [(100, i) for i in ids]
+
+
 # --- quality -------------------------------------------------------------------------------------------
 
 
