@@ -41,6 +41,13 @@ def test_pair_sums_both_ways(spark, light, block, group, text_items):
     assert got == _pairs(rows)
 
 
+def test_pairs_of_a_hot_item_in_parts(spark):
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(60) for i in [0, 1 + u % 7, 20 + u % 5, 40 + u % 3]]
+    df = spark.createDataFrame([*rows, (None, 1, 2.0), (None, 2, 2.0), (3, None, 1.0)], "user int, item long, rating double")
+    found = C._joined_pairs(df, task_pairs=30).collect()
+    assert {(r["p1"], r["p2"]): [r["dot"], r["n"], r["s1"], r["s2"]] for r in found} == _pairs(rows) and len(found) == len(_pairs(rows))
+
+
 def test_golden_cosine(spark):
     rows = [(0, 1, 3), (0, 2, 4), (0, 3, 1), (1, 1, 4), (1, 2, 4), (1, 3, 2)]
     df = C.ratings_of(spark.createDataFrame(rows, "user int, item int, rating int"), "user", "item", "rating")

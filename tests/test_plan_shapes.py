@@ -1,10 +1,13 @@
 """Physical plans: what reaches the scan, what combines early, what stays out of Python."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import udfs
 from tidemill.operators import aggregates as A
+from tidemill.operators import recommend as C
 from tidemill.operators import relational as R
 from tidemill.operators import windows as W
 from tidemill.plans import registry
@@ -71,3 +74,12 @@ def test_outer_join_never_plans_a_full_join(t):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") in shared_dir(spark)
+
+
+def test_pairs_and_predictions_are_made_where_they_are_added_up(spark):
+    ratings = spark.createDataFrame([(u, i, 1.0 + u + i) for u in range(6) for i in range(5) if (u + i) % 3], "user int, item long, rating double")
+    plan = udfs.plan_text(C.item_similarity(ratings))
+    assert "hashpartitioning(p1#" in plan and not re.search(r"hashpartitioning\(p1#\w+, p2#", plan)
+    sims = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.2)], "p1 long, p2 long, sim double")
+    plan = udfs.plan_text(C.recommend(C.predict(ratings, sims), 2))
+    assert "hashpartitioning(user#" in plan and not re.search(r"hashpartitioning\(user#\w+, (item|target)#", plan)
