@@ -1,5 +1,6 @@
 """Tests and intervals against published values."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import special as S
+from tidemill.functions import udfs
 from tidemill.operators import metrics as Q
 from tidemill.operators import stats as E
 
@@ -88,6 +90,26 @@ def test_rank_tests(spark):
     assert 0 < row["p_value"] < 0.01
 
 
+def test_bootstrap_sums_by_hand(spark):
+    values = [(i, "ab"[i % 2] if i % 5 else None, None if i % 7 == 0 else 1000.0 + i + 0.01 * (i % 3)) for i in range(40)]
+    df = spark.createDataFrame([*values, (None, "a", 5.0)], "id long, g string, v double")
+    want: dict = {}
+    for i, g, v in [*values, (None, "a", 5.0)]:
+        for q in range(3):
+            drawn = hashlib.md5("-".join(["9", *([str(i)] if i is not None else []), str(q)]).encode()).hexdigest()
+            for j in range(4):
+                u, w, term, total = int(drawn[8 * j : 8 * j + 8], 16) / 2**32, 0, math.exp(-1), 0.0
+                while u >= (total := total + term):
+                    w, term = w + 1, term / (w + 1)
+                if 4 * q + j < 10 and w:
+                    want.setdefault((4 * q + j, g), []).append((w, v))
+    plan = E.bootstrap_means(df, "id", "g", "v", 10, 9)
+    got = {(r["replicate"], r["g"]): r["mean_value"] for r in plan.collect()}
+    means = {k: sum(w * v for w, v in x if v is not None) / sum(w for w, _ in x) for k, x in want.items()}
+    assert got == {k: pytest.approx(v, rel=1e-13) for k, v in means.items()}
+    assert "MapInArrow" in udfs.plan_text(plan)  # replicates are made and added up in arrays, not as rows
+
+
 def test_bootstrap(spark):
     df = spark.createDataFrame([(i, "g", float(i % 10)) for i in range(500)], "id int, g string, v double")
     means = [r["mean_value"] for r in E.bootstrap_means(df, "id", "g", "v", 60, 1).collect()]

@@ -30,16 +30,24 @@ def bucket(n: int, seed: int, *keys: str | Column) -> Column:
     return word(digest(seed, *keys), 0) % n
 
 
-def poisson(u: Column, rate: float = 1.0) -> Column:
-    """Poisson(``rate``) draw from a uniform number by the inverse distribution function, up to where 32 bits tell draws apart."""
+def poisson_edges(rate: float) -> list[float]:
+    """The values of Poisson(``rate``)'s distribution function, up to where 32 bits tell draws apart."""
     if not 0 < rate <= 500:
         raise ValueError("the rate must be above 0 and at most 500")
-    total, term, k, out = 0.0, exp(-rate), 0, F.lit(0)
+    total, term, k, out = 0.0, exp(-rate), 0, []
     while total < 1 - 2.0**-32 and k < 20 + 4 * rate:
         total += term
+        out.append(total)
         k += 1
         term *= rate / k
-        out = out + F.when(u >= total, 1).otherwise(0)
+    return out
+
+
+def poisson(u: Column, rate: float = 1.0) -> Column:
+    """Poisson(``rate``) draw from a uniform number by the inverse distribution function."""
+    out = F.lit(0)
+    for edge in poisson_edges(rate):
+        out = out + F.when(u >= edge, 1).otherwise(0)
     return out
 
 

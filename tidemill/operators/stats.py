@@ -4,15 +4,17 @@ scalar finish adds the p-value. Functions named ``*_stats`` return the one-row t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from math import sqrt
+from hashlib import md5
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special as S
-from ..functions.hashing import digest, poisson_one, word
+from ..functions.hashing import poisson_edges
 from .ordered import exact_quantiles, mid_ranks, running_totals
 
 
@@ -212,32 +214,64 @@ def signed_rank(df: DataFrame, before: str, after: str) -> DataFrame:
 
 #: Replicates of a bootstrap.
 REPLICATES = 1_000
+#: Rows that one task of a bootstrap takes, about, rows whose weights are laid out at a time, and groups that it holds.
+BOOTSTRAP_TASK, BOOTSTRAP_ROWS, BOOTSTRAP_GROUPS = 20_000, 1_000, 256
+_ONE_EDGES = np.ceil(np.array(poisson_edges(1.0)) * 2**32).astype("int64")
 
 
-def replicate_weights(df: DataFrame, key: str, replicates: int, seed: int) -> DataFrame:
-    """Every row once per replicate with its Poisson(1) weight ``w`` (rows drawn 0 times are left out).
-
-    Four weights come from one digest of (seed, key, quarter), so a replicate is the same on any cluster.
-    """
-    quarters = F.explode(F.sequence(F.lit(0), F.lit((replicates + 3) // 4 - 1)))
-    hashed = df.withColumn("_q", quarters).withColumn("_h", digest(seed, key, "_q"))
-    draws = [
-        F.struct((F.col("_q") * 4 + i).alias("replicate"), (word(F.col("_h"), i) / F.lit(4294967296.0)).alias("u"))
-        for i in range(4)
-    ]
-    rows = hashed.withColumn("_r", F.explode(F.array(*draws))).select(
-        *df.columns, F.col("_r.replicate").alias("replicate"), F.col("_r.u").alias("_u")
-    )
-    drawn = rows.where(F.col("replicate") < replicates).withColumn("w", poisson_one(F.col("_u")))
-    return drawn.where("w > 0").drop("_u")
+def _replicate_weights(prefixes: Sequence[str], replicates: int) -> np.ndarray:
+    """Poisson(1) weights, (rows, replicates): four 32-bit numbers come from the md5 digest of each ``prefix-quarter``."""
+    names = [f"-{q}".encode() for q in range((replicates + 3) // 4)]
+    drawn = b"".join([md5(prefix + name).digest() for prefix in (p.encode() for p in prefixes) for name in names])
+    words = np.frombuffer(drawn, dtype=">u4").astype("int64").reshape(len(prefixes), -1)[:, :replicates]
+    return np.searchsorted(_ONE_EDGES, words, side="right").astype("float64")
 
 
 def bootstrap_means(df: DataFrame, key: str, group: str, value: str, replicates: int = REPLICATES, seed: int = 51) -> DataFrame:
-    """Mean of ``value`` per (replicate, group). Each task sums its own rows before the shuffle."""
-    rows = replicate_weights(df.select(key, group, value), key, replicates, seed)
-    return rows.groupBy("replicate", group).agg(
-        (F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("mean_value")
-    )
+    """Mean of ``value`` per (replicate, group): in a replicate every row has a Poisson(1) weight by its key, so a replicate is
+    the same on any cluster.
+
+    A task adds up the weights and the weighted values of its rows, row by row, and sends one row for each group.
+    """
+    prefix = F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))
+    rows = df.select(prefix.alias("prefix"), F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+    tasks = ceil(rows.count() / BOOTSTRAP_TASK)  # few bytes, but much work for each row
+    spread = rows.repartition(tasks, "prefix") if tasks > 1 else rows
+    names = ("n", "known", "total")
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict = {}
+
+        def sent() -> pa.RecordBatch:
+            lists = [pa.array([t[i] for t in totals.values()], pa.list_(pa.float64())) for i in range(len(names))]
+            return pa.record_batch([pa.array(list(totals), kind), *lists], names=["g", *names])
+
+        for b in (batch.slice(i, BOOTSTRAP_ROWS) for batch in batches for i in range(0, batch.num_rows, BOOTSTRAP_ROWS)):
+            w = _replicate_weights(b.column("prefix").to_pylist(), replicates)
+            known = b.column("v").is_valid().to_numpy(zero_copy_only=False)
+            v = np.where(known, b.column("v").to_numpy(zero_copy_only=False), 0.0)
+            coded, kind = b.column("g").dictionary_encode(null_encoding="encode"), b.column("g").type
+            code = coded.indices.to_numpy()
+            for c, g in enumerate(coded.dictionary.to_pylist()):
+                mine = code == c
+                some = w[mine]
+                with np.errstate(invalid="ignore"):
+                    weighed = np.where(some > 0, some * v[mine, None], 0.0)
+                added = [np.add.reduce(x, axis=0) for x in (some, some[known[mine]])]
+                before = totals.get(g, np.zeros((len(names), replicates)))
+                total = np.add.reduce(np.concatenate([before[-1:], weighed]), axis=0)  # in the order of the rows
+                totals[g] = np.stack([before[0] + added[0], before[1] + added[1], total])
+            if len(totals) > BOOTSTRAP_GROUPS:
+                yield sent()
+                totals = {}
+        if totals:
+            yield sent()
+
+    shape = f"g {dict(rows.dtypes)['g']}, " + ", ".join(f"{c} array<double>" for c in names)
+    each = spread.mapInArrow(add_up, shape).select("g", F.posexplode(F.arrays_zip(*names)).alias("replicate", "t"))
+    added = each.groupBy("replicate", "g").agg(*[F.sum(F.col(f"t.{c}")).alias(c) for c in names]).where("n > 0")
+    mean = F.when(F.col("known") > 0, F.col("total") / F.col("n"))
+    return added.select("replicate", F.col("g").alias(group), mean.alias("mean_value"))
 
 
 def bootstrap_cells(cells: DataFrame, count: str, replicates: int = REPLICATES, seed: int = 61) -> DataFrame:

@@ -234,7 +234,8 @@ def bootstrap_mean_all(t: Tables) -> DataFrame:
 
 def _mean_replicates(t: Tables, replicates: int = E.REPLICATES) -> DataFrame:
     out = E.bootstrap_means(t.orders, "o_orderkey", "o_orderpriority", "o_totalprice", replicates, 51)
-    return out.withColumn("mean_value", F.round("mean_value", 4))
+    # Rounded as SQL does: the product with 10,000, which is a double, goes to a whole number.
+    return out.withColumn("mean_value", F.round(F.col("mean_value") * F.lit(1e4)) / F.lit(1e4))
 
 
 def _scored(t: Tables, bound: int) -> DataFrame:
