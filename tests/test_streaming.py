@@ -86,6 +86,20 @@ def test_watermark_drops_late_rows(spark, tmp_path):
     assert got == {"000000-000030": 1, "000015-000045": 1, "000115-000145": 2, "000130-000200": 2}
 
 
+def test_windows_of_panes(spark):
+    rows = [(u, f"2020-01-01 00:{(7 * i * u) % 60:02d}:{(13 * i) % 60:02d}") for u in (1, 2) for i in range(40) if u != 2 or i % 3]
+    rows += [(2, "1969-12-31 23:59:40"), (1, None), (None, "2020-01-01 00:00:10"), (None, "2020-01-01 00:00:50")]
+    df = spark.createDataFrame(rows, "user long, t string").select("user", F.to_timestamp("t").alias("ts"))
+    flat = lambda w: w.select("user", F.unix_seconds("window.start").alias("start"), "cnt")
+    panes = flat(J.window_counts(df, "ts", ["user"], "30 seconds"))
+    for size in (30, 60, 600):
+        want = flat(J.window_counts(df, "ts", ["user"], f"{size} seconds", "30 seconds"))
+        got = J.windows_of_panes(panes, ["user"], 30, size)
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    with pytest.raises(ValueError):
+        J.windows_of_panes(panes, ["user"], 30, 45)
+
+
 def test_messages_and_clicks(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

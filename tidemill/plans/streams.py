@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators.features import text_stages
 from ..operators.models import BUCKETS
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources.tables import Tables
 from ..streaming import jobs as J
 from ..streaming import panes as N
@@ -98,16 +98,14 @@ def stream_window_csv(t: Tables) -> DataFrame:
     SELECT user_id, size, epoch_us(s) // 1000000 AS start, count(*) AS cnt FROM o GROUP BY ALL""",
 )
 def stream_user_1m_10m(t: Tables) -> DataFrame:
-    """ST15: messages per user over 1 and 10 minutes, every 30 seconds."""
-    out = None
-    for size, text in ((60, "1 minute"), (600, "10 minutes")):
-        path = scratch_path(t.spark, "users")
-        counts = J.window_counts(_events(t), "ts", ["user_id"], text, "30 seconds", "1 hour")
-        flat = counts.select("user_id", F.lit(size).alias("size"), F.unix_seconds("window.start").alias("start"), "cnt")
-        K.run_now(flat, "update", K.append_epochs(path))
-        last = K.latest_values(t.spark, path, ["user_id", "size", "start"])
-        out = last if out is None else out.unionByName(last)
-    return out
+    """ST15: messages per user over 1 and 10 minutes, every 30 seconds: the stream counts panes of 30 seconds, of which the windows are
+    added up. Panes stay open for 10 minutes more than the hour, as the last window that they belong to."""
+    path = scratch_path(t.spark, "users")
+    counts = J.window_counts(_events(t), "ts", ["user_id"], "30 seconds", late="70 minutes")
+    K.run_now(counts.select("user_id", F.unix_seconds("window.start").alias("start"), "cnt"), "update", K.append_epochs(path))
+    panes = cut_lineage(K.latest_values(t.spark, path, ["user_id", "start"]))
+    parts = [J.windows_of_panes(panes, ["user_id"], 30, size).withColumn("size", F.lit(size)) for size in (60, 600)]
+    return parts[0].unionByName(parts[1]).select("user_id", "size", "start", "cnt")
 
 
 @job("stream_json_time", "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS number, epoch_us(ts) AS micros FROM events")

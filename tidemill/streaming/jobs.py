@@ -6,6 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_width
+
 
 def window_label(window: Column) -> Column:
     """``HHMMSS-HHMMSS`` of a window."""
@@ -37,6 +39,17 @@ def window_counts(
     return source.groupBy(window.alias("window"), *keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def windows_of_panes(panes: DataFrame, keys: list[str], pane: int, size: int) -> DataFrame:
+    """(keys..., start, cnt) of the windows of ``size`` seconds that begin with each pane, from counts of panes (keys..., start, cnt) of
+    ``pane`` seconds, which divide ``size``. Rows are dealt by key before each pane goes to its windows, so these are not shuffled."""
+    if size <= 0 or size % pane:
+        raise ValueError("pane must divide size")
+    dealt = panes.repartition(shuffle_width(panes.sparkSession), *keys)
+    back = F.explode(F.sequence(F.lit(0), F.lit(size // pane - 1)))
+    placed = dealt.select(*keys, "start", "cnt", back.alias("_k")).withColumn("start", F.col("start") - F.col("_k") * pane)
+    return placed.groupBy(*keys, "start").agg(F.sum("cnt").alias("cnt"))
+
+
 def arrival_numbers(df: DataFrame) -> DataFrame:
     """Passthrough of (number, timestamp of arrival)."""
     return df.withColumnRenamed("value", "number")
