@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -67,6 +68,22 @@ def test_predictions_by_hand(spark):
     assert {r["user"]: [x["item"] for x in r["recommendations"]] for r in lists} == {0: [3], 7: [2, 3]}
 
 
+def test_shuffles_go_after_each_fit(spark, monkeypatch):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    left, release = [], C.release_shuffles
+
+    def counted(session):
+        release(session)
+        time.sleep(1)  # the cleaner works beside the driver
+        left.append(blocks.getAllBlocks().size())
+
+    monkeypatch.setattr(C, "release_shuffles", counted)
+    ratings = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(10) if (u + i) % 4], "user long, item long, rating double")
+    found = C.als_choose(ratings, [2], [0.01, 0.1, 1.0], folds=2, iterations=2).collect()
+    assert len(left) == 6 and [r["pairs"] for r in found] == [90] * 3
+    assert left[2] <= left[0] + 20 and left[5] <= left[3] + 20  # a fit alone leaves more
+
+
 def test_rules_agree(spark):
     baskets = {1: "abc", 2: "abc", 3: "ab", 4: "ad", 5: "b", 6: "z"}
     df = spark.createDataFrame([(u, i) for u, s in baskets.items() for i in s], "user int, item string")
