@@ -1,5 +1,6 @@
 """Physical plans: what reaches the scan, what combines early, what stays out of Python."""
 
+import math
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import udfs
 from tidemill.operators import aggregates as A
+from tidemill.operators import features as M
 from tidemill.operators import recommend as C
 from tidemill.operators import relational as R
 from tidemill.operators import windows as W
@@ -83,3 +85,14 @@ def test_pairs_and_predictions_are_made_where_they_are_added_up(spark):
     sims = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.2)], "p1 long, p2 long, sim double")
     plan = udfs.plan_text(C.recommend(C.predict(ratings, sims), 2))
     assert "hashpartitioning(user#" in plan and not re.search(r"hashpartitioning\(user#\w+, (item|target)#", plan)
+
+
+def test_words_are_counted_where_their_text_is(spark):
+    rows = [(1, "a b a"), (2, "b c"), (1, "a c"), (None, "c"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc long, text string")
+    out = M.tf_idf(df, "doc", F.filter(F.split("text", " "), lambda w: w != ""))
+    assert not re.search(r"hashpartitioning\(doc#\w+, word#", udfs.plan_text(out))
+    got = {(r["doc"], r["word"]): (r["tf"], r["tfidf"]) for r in out.collect()}
+    held = {"a": 1, "b": 2, "c": 3}
+    counts = {(1, "a"): 3, (1, "b"): 1, (1, "c"): 1, (2, "b"): 1, (2, "c"): 1, (None, "c"): 1}
+    assert got == {k: (n, pytest.approx(n * math.log(7 / (held[k[1]] + 1)))) for k, n in counts.items()}

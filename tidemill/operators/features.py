@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_PATTERN
+from ..session import cut_lineage, shuffle_width, small_side
 from .ordered import row_numbers
 
 # --- text ----------------------------------------------------------------------------------------
@@ -50,9 +51,13 @@ def character_stages(text_array: str, out: str, min_df: float = 1.0, binary: boo
 
 
 def tf_idf(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """Exact-vocabulary weights: count of the word in the row times ln((rows + 1) / (rows with it + 1))."""
-    tf = df.select(key, F.explode(tokens).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
-    seen = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    """Exact-vocabulary weights: count of the word in the row times ln((rows + 1) / (rows with it + 1)).
+
+    Rows are dealt by key before they are split, so their words are counted where they are; a text is less to send than its words.
+    """
+    dealt = df.repartition(shuffle_width(df.sparkSession), key)
+    tf = dealt.select(key, F.explode(tokens).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
+    seen = small_side(cut_lineage(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))))
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     weight = F.col("tf") * F.ln((rows + 1) / (F.col("df") + 1))
     return tf.join(seen, "word").select(key, "word", "tf", weight.alias("tfidf"))
