@@ -11,6 +11,7 @@ from tidemill.operators import aggregates as A
 from tidemill.operators import features as M
 from tidemill.operators import recommend as C
 from tidemill.operators import relational as R
+from tidemill.operators import spatial as P
 from tidemill.operators import windows as W
 from tidemill.plans import registry
 from tidemill.session import fits, shared_dir, small_side
@@ -96,3 +97,12 @@ def test_words_are_counted_where_their_text_is(spark):
     held = {"a": 1, "b": 2, "c": 3}
     counts = {(1, "a"): 3, (1, "b"): 1, (1, "c"): 1, (2, "b"): 1, (2, "c"): 1, (None, "c"): 1}
     assert got == {k: (n, pytest.approx(n * math.log(7 / (held[k[1]] + 1)))) for k, n in counts.items()}
+
+
+def test_zone_totals_count_trips_once(spark):
+    zones = spark.createDataFrame([(1, [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]])], "zone int, rings array<array<struct<x: double, y: double>>>")
+    starts = spark.range(30).select((F.col("id") % 3).alias("s"), (F.col("id") % 3 + 0.5).alias("x"), F.lit(0.5).alias("y"))
+    ends = spark.range(10).select((F.col("id") % 2 + 2).alias("s"), (F.col("id") % 2 + 2.5).alias("x"), F.lit(0.5).alias("y"))
+    out = P.zone_totals(starts, ends, zones, "s", "zone", "x", "y", 0.7)
+    assert [tuple(r) for r in out.collect()] == [(None, 10, 10), (1, 20, 0)]
+    assert "Range" not in udfs.plan_text(out)  # what the joins read again is not the trips

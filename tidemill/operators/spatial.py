@@ -73,11 +73,11 @@ def zone_totals(
     starts: DataFrame, ends: DataFrame, zones: DataFrame, key: str, zone: str, x: str, y: str, cell: float
 ) -> DataFrame:
     """Starts and ends summed per zone, busiest first. Both inputs hold ``key, x, y`` per trip end;
-    trips are counted per station before the zone join."""
+    trips are counted per station before the zone join. Counts are written, as the joins read them several times."""
     counted = [
-        side.groupBy(key, x, y).agg(F.count(F.lit(1)).alias(name)) for side, name in ((starts, "starts"), (ends, "ends"))
+        cut_lineage(side.groupBy(key, x, y).agg(F.count(F.lit(1)).alias(name))) for side, name in ((starts, "starts"), (ends, "ends"))
     ]
-    stations = outer_join(counted[0], counted[1], [key, x, y], "full").na.fill(0, ["starts", "ends"])
+    stations = cut_lineage(outer_join(counted[0], counted[1], [key, x, y], "full").na.fill(0, ["starts", "ends"]))
     located = zone_of(stations, zones, key, zone, x, y, cell).join(stations, key)
     totals = located.groupBy(zone).agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
     return totals.orderBy(F.desc(F.col("starts") + F.col("ends")), zone)
