@@ -152,6 +152,17 @@ def test_near_components(spark, seed):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_components(rows)
 
 
+def test_links_hang_on_no_list_of_common_shingles(spark, monkeypatch):
+    rows = near_rows(4)
+    want = plain_components(rows)
+    every = N.common_shingles(table(spark, rows), 5, at_least=1)
+    for common in (every[:0], N.common_shingles(table(spark, rows), 5), every):
+        monkeypatch.setattr(N, "common_shingles", lambda docs, width, common=common: common)
+        got = N.near_components(table(spark, rows)).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == want
+        monkeypatch.undo()
+
+
 def test_near_components_other_limits(spark):
     rows = near_rows(7, 60)
     got = N.near_components(table(spark, rows), percent=50, width=2).collect()
