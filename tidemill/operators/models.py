@@ -35,6 +35,15 @@ def _parts(df: DataFrame, key: str, test: float = 0.2, seed: int = 81) -> tuple[
     return train.persist(), held.persist()
 
 
+#: Rows to a task, and the least number of tasks, of the rows that a model is fitted on.
+TASK_ROWS, TASKS = 10_000, 8
+
+
+def _gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of ``rows`` rows in as many parts as these are worth: each of the many small jobs of a fit starts a task for every part."""
+    return df.coalesce(max(TASKS, -(-rows // TASK_ROWS)))
+
+
 def _table(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
     """A small quality table (one row per model)."""
     return df.sparkSession.createDataFrame(rows, schema)
@@ -250,7 +259,7 @@ def tree_regression_report(
     """Test rmse and r2 of the train mean, and of a random forest and boosted trees, both chosen by cross-validation."""
     train, test = _parts(df, key)
     front = Pipeline(stages=encoded_stages(categorical, numeric)).fit(train)
-    a, b = front.transform(train).persist(), front.transform(test).persist()
+    a, b = (_gathered(front.transform(part), part.count()).persist() for part in (train, test))
     forest = RandomForestRegressor(labelCol=label, numTrees=trees, seed=7)
     boosted = GBTRegressor(labelCol=label, maxDepth=3, seed=7, checkpointInterval=10)
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
