@@ -1,8 +1,12 @@
 """Work that must not grow with settings or faster than the rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.operators import models as L
+from tidemill.streaming import panes as P
+from tidemill.streaming import sinks as K
+from tidemill.streaming.sources import file_stream
 
 
 class _Seen(Exception):
@@ -27,3 +31,35 @@ def test_fits_get_no_more_parts_than_rows_are_worth(spark, monkeypatch):
     assert parts == L.TASKS and 700 < n < 900
     many = L._gathered(spark.range(1000).repartition(60), 30 * L.TASK_ROWS)
     assert many.rdd.getNumPartitions() == 30 and many.count() == 1000
+
+
+def test_state_partitions_follow_rows(spark, monkeypatch):
+    """Each state partition opens a store and a worker in every batch, however few rows there are."""
+    monkeypatch.setattr(P, "shuffle_width", lambda _: 200)
+    assert P.state_parts(spark, 0) == P.state_parts(spark, 100_000) == P.STATE_PARTS
+    assert P.state_parts(spark, 20 * P.STATE_ROWS) == 20 and P.state_parts(spark, 10**12) == 200
+    before = spark.conf.get(P.WIDTH)
+    with P.keyed_state(spark, 3):
+        assert spark.conf.get(P.WIDTH) == "3"
+    assert spark.conf.get(P.WIDTH) == before
+
+
+def test_panes_of_many_keys_share_a_state(spark, tmp_path, monkeypatch):
+    """Keys come back as they were, nulls and long numbers too, and no more states are kept than there are buckets."""
+    monkeypatch.setattr(P, "BUCKETS", 2)
+    big = 2**60 + 1
+    rows = [(k, n, 1000 + 20 * i) for i in range(6) for k, n in ((big, "a"), (big + 1, "a"), (None, ""), (None, None))]
+    source = spark.createDataFrame([*rows, (7, "end", 100_000)], "user long, name string, at long")
+    source.select("user", "name", F.timestamp_seconds("at").alias("ts")).write.parquet(str(tmp_path / "in"))
+    stream = file_stream(spark, str(tmp_path / "in"), "user long, name string, ts timestamp")
+    with P.keyed_state(spark, 2):
+        counts = P.pane_counts(stream, "ts", ["user", "name"], 60, 120, "15 seconds")
+        query = K.run_now(counts, "append", path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+    states = [s.get("numRowsTotal", 0) for p in query.recentProgress for s in p.get("stateOperators", [])]
+    assert max(states) <= 4  # a value and a timer for each of two buckets
+    got = {(r.user, r.name, r.end_ms): r.cnt for r in P.summed(spark.read.parquet(str(tmp_path / "out")), ["user", "name"]).collect()}
+    want = {}
+    for user, name, at in rows:
+        for end in ((at // 60 + 1) * 60, (at // 60 + 2) * 60):
+            want[user, name, end * 1000] = want.get((user, name, end * 1000), 0) + 1
+    assert got == want

@@ -270,7 +270,7 @@ def _pane_rows(t: Tables, keys: list[str], pane: int, size: int | None, salts: i
         counts = N.pane_counts(stream, "ts", keys, pane, size, "15 seconds", salts, "event_id")
         K.run_now(counts, "append", path=path, checkpoint=checkpoint)
 
-    with N.keyed_state(t.spark):
+    with N.keyed_state(t.spark, N.state_parts(t.spark, t.events.count())):
         _in_slices(t, run)
     return N.summed(t.spark.read.schema(shape).parquet(path), keys)
 
