@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.operators import graph as G
 from tidemill.operators import models as L
 from tidemill.streaming import panes as P
 from tidemill.streaming import sinks as K
@@ -63,3 +64,13 @@ def test_panes_of_many_keys_share_a_state(spark, tmp_path, monkeypatch):
         for end in ((at // 60 + 1) * 60, (at // 60 + 2) * 60):
             want[user, name, end * 1000] = want.get((user, name, end * 1000), 0) + 1
     assert got == want
+
+
+def test_edges_are_cut_by_the_end_predicates_before_they_are_counted(spark, monkeypatch):
+    """Counting takes memory for every distinct edge; only edges from the starts and to the ends are needed."""
+    v = spark.createDataFrame([(x,) for x in "abcdez"], "id string")
+    e = spark.createDataFrame([*[tuple(p) for p in ("ab", "ab", "bc", "db", "be", "be", "ax", "xc", "cd", "ez")], ("a", None), (None, "c")], "src string, dst string")
+    counted, weighted = [], G.weighted
+    monkeypatch.setattr(G, "weighted", lambda vertices, edges: counted.append(edges.count()) or weighted(vertices, edges))
+    rows = {(r.a, r.b, r.c): r.cnt for r in G.two_hops(v, e, "id = 'a'", "id = 'e'").collect()}
+    assert rows == {("a", "b", "e"): 4} and counted == [4, 2]

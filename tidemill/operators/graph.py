@@ -23,6 +23,11 @@ def triplets(v: DataFrame, e: DataFrame) -> DataFrame:
     return rows.select(F.col("src_v").alias("src"), "edge", F.col("dst_v").alias("dst"))
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    """``df``, some of the vertices, as the side of a join that is hashed, so that the edges on the other side are not sorted for it."""
+    return F.broadcast(df) if fits(df) else df.hint("shuffle_hash")
+
+
 def degrees(e: DataFrame, end: str, name: str) -> DataFrame:
     """Edges per vertex at ``end`` ('src' or 'dst'); vertices without such an edge are absent."""
     return e.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias(name))
@@ -73,11 +78,10 @@ def two_hops(v: DataFrame, e: DataFrame, a: Column | str, c: Column | str) -> Da
     The end predicates cut the edges first; parallel edges are counted first, so a chain is one row
     however many edges repeat it.
     """
-    w = weighted(v, e)
-    starts = v.where(a).select(F.col("id").alias("a"))
-    ends = v.where(c).select(F.col("id").alias("c"))
-    ab = w.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1")).join(starts, "a", "left_semi")
-    bc = w.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w2")).join(ends, "c", "left_semi")
+    starts = _hashed(v.where(a).select(F.col("id").alias("src")))
+    ends = _hashed(v.where(c).select(F.col("id").alias("dst")))
+    ab = weighted(v, e.join(starts, "src", "left_semi")).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w1"))
+    bc = weighted(v, e.join(ends, "dst", "left_semi")).select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w2"))
     return ab.join(bc, "b").select("a", "b", "c", (F.col("w1") * F.col("w2")).alias("cnt"))
 
 
