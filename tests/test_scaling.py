@@ -50,6 +50,7 @@ def test_panes_of_many_keys_share_a_state(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(P, "BUCKETS", 2)
     big = 2**60 + 1
     rows = [(k, n, 1000 + 20 * i) for i in range(6) for k, n in ((big, "a"), (big + 1, "a"), (None, ""), (None, None))]
+    rows += [(u if u % 7 else None, None, 1000 + u * 37 % 1000) for u in range(200)]  # nulls among many keys and panes
     source = spark.createDataFrame([*rows, (7, "end", 100_000)], "user long, name string, at long")
     source.select("user", "name", F.timestamp_seconds("at").alias("ts")).write.parquet(str(tmp_path / "in"))
     stream = file_stream(spark, str(tmp_path / "in"), "user long, name string, ts timestamp")
