@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tidemill.operators import top_products as P
 from tidemill.operators import vector_index as V
+from tidemill.operators.windows import top_per_group
 
 
 def clustered(n, width, seed, centres=30):
@@ -142,3 +143,23 @@ def test_top_products_edges(spark, monkeypatch):
 def test_products_of_fitted_factors(spark):
     row = entry.queries()["als_recommend_cost"](spark, "/root/testdata/sf0.01").first()
     assert row.products < 0.5 * row.pairs and row["rows"] == 5 * row.users
+
+
+def test_queries_are_sent_to_blocks_of_cells(spark, monkeypatch):
+    """A query that looks into all cells is sent once to each block, and a task gives back ``refine`` rows for it, however many its cells are."""
+    monkeypatch.setattr(V, "CHUNK", 300)
+    monkeypatch.setattr(V, "ASKED", 40)
+    returned = []
+    monkeypatch.setattr(V, "top_per_group", lambda df, *a: returned.append(df.count()) or top_per_group(df, *a))
+    x = np.random.default_rng(6).standard_normal((1200, 8))
+    x[1100:1150] = x[7]  # equal codes
+    index = V.build(table(spark, x[:1150]), 3, cells=30)
+    index = index._replace(probes=30)
+    got = V.shortlist(index, table(spark, x[1100:], name="query_id"), 20).collect()
+    blocks = int(V._blocks(index.sizes).max()) + 1
+    assert blocks < 10 and returned == [100 * 20 * blocks]
+    code = {r.id: np.frombuffer(r.code, dtype=np.uint8) for r in index.codes.collect()}
+    for name in (0, 70):
+        table_of = index.model.tables(x[1100 + name])
+        near = sorted(code, key=lambda i: (sum(t[c] for t, c in zip(table_of, code[i])), i))[:20]
+        assert sorted(r.id for r in got if r.query_id == name) == sorted(near)

@@ -27,8 +27,8 @@ SAMPLE_ROWS, TRIAL_ROWS = 20_000, 300
 MOST_CELLS = 1024
 #: Components of a vector for one byte of its code.
 COMPONENTS = 4
-#: Rows of a cell, and queries of a cell, that one task works on.
-CHUNK = 20_000
+#: Rows of whole cells (or of a piece of a larger cell), and queries, that one task works on; rows of a batch sent to tasks.
+CHUNK, ASKED, SENT = 50_000, 2_000, 20_000
 
 
 def usable(vec: Column, width: int | None = None) -> Column:
@@ -133,40 +133,76 @@ def build(train: DataFrame, k: int = 10, target: float = 0.97, cells: int | None
     return VectorIndex(model, probes, widths.n, sizes, coded.withColumn("piece", F.pmod(F.xxhash64("id"), pieces).cast("int")), fine)
 
 
+def _blocks(sizes: np.ndarray) -> np.ndarray:
+    """The first block of each cell: neighbouring cells share a block of ``CHUNK`` rows at most, a larger cell has a block for each piece."""
+    first, at, held = np.zeros(len(sizes), dtype=np.int64), 0, 0
+    for cell, n in enumerate(sizes):
+        if held and held + n > CHUNK:
+            at, held = at + 1, 0
+        first[cell], held = at, held + int(n)
+        if n > CHUNK:
+            at, held = at + ceil(int(n) / CHUNK), 0
+    return first
+
+
 def shortlist(index: VectorIndex, query: DataFrame, refine: int) -> DataFrame:
-    """(query_id, id): for each row of ``query`` (query_id, vec) the ``refine`` rows of its cells that are nearest by their codes."""
+    """(query_id, id): for each row of ``query`` (query_id, vec) the ``refine`` rows of its cells that are nearest by their codes.
+
+    Cells are gathered into blocks. A query is sent once to each block that holds some of its cells, with these cells, and gets
+    at most ``refine`` rows from there, so what is sent and returned follows the number of blocks, not that of cells looked into.
+    """
     model, probes = index.model, index.probes
     kind, key = dict(query.dtypes)["query_id"], dict(index.codes.dtypes)["id"]
+    first = _blocks(index.sizes)
+    last = first + np.maximum(1, np.ceil(index.sizes / CHUNK).astype(np.int64)) - 1
+    step = max(1, SENT // (int(last.max()) + 1))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                near = np.argsort(_squares(_matrix(b["vec"]), model.centres), axis=1, kind="stable")[:, :probes]
-                at = np.repeat(np.arange(len(b)), near.shape[1])
-                yield b.iloc[at].reset_index(drop=True).assign(cell=near.ravel().astype("int32"))
-
-    visits = cut_lineage(query.select("query_id", "vec").mapInPandas(visit, f"query_id {kind}, vec array<double>, cell int"))
-    load = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = F.get(F.array(*[F.lit(max(1, ceil(load.get(c, 0) / CHUNK))) for c in range(len(model.centres))]), F.col("cell"))
-    pieces = F.get(F.array(*[F.lit(max(1, ceil(int(n) / CHUNK))) for n in index.sizes]), F.col("cell"))
-    asks = visits.withColumn("part", F.pmod(F.xxhash64("query_id"), parts).cast("int"))
-    asks = asks.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    have = index.codes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+            for start in range(0, len(b), step):
+                some = b.iloc[start : start + step]
+                near = np.argsort(_squares(_matrix(some["vec"]), model.centres), axis=1, kind="stable")[:, :probes]
+                at, block, cells = [], [], []
+                for i, own in enumerate(np.sort(near, axis=1)):  # blocks rise with cells
+                    own = np.repeat(own, last[own] - first[own] + 1)
+                    place = first[own] + np.arange(len(own)) - np.searchsorted(own, own)
+                    edges = np.flatnonzero(np.diff(place)) + 1
+                    parts = np.split(own, edges)
+                    at.extend([i] * len(parts))
+                    block.extend(place[np.concatenate([[0], edges])])
+                    cells.extend(parts)
+                yield some.iloc[at].reset_index(drop=True).assign(block=np.array(block, dtype="int32"), cells=cells)
+
+    parts = max(1, ceil(query.count() / ASKED))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
+    asks = query.select("query_id", "vec").mapInPandas(visit, f"query_id {kind}, vec array<double>, block int, cells array<int>").withColumn("part", part)
+    block = (F.get(F.array(*[F.lit(int(n)) for n in first]), F.col("cell")) + F.col("piece")).cast("int")
+    have = index.codes.withColumn("block", block).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def best(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"query_id": [], "id": [], "rough": []}
+        names, found, least = [], [], []
         if len(asked) and len(rows):
+            rows = rows.sort_values("id", na_position="first", ignore_index=True).sort_values("cell", kind="stable")
+            rank = rows.index.to_numpy()  # place by id
             code = np.frombuffer(b"".join(rows["code"]), dtype=np.uint8).reshape(len(rows), -1).T
-            ids, keep = rows["id"].to_numpy(), min(refine, len(rows))
-            for name, vec in zip(asked["query_id"], asked["vec"]):
-                rough = sum(table[c] for table, c in zip(model.tables(np.asarray(vec, dtype=float)), code))
-                near = np.argpartition(rough, keep - 1)[:keep]
-                out["query_id"].extend([name] * keep)
-                out["id"].extend(ids[near])
-                out["rough"].extend(rough[near])
-        return pd.DataFrame(out)
-
-    group = ["cell", "piece", "part"]
+            ids, cell = rows["id"].to_numpy(), rows["cell"].to_numpy()
+            for name, vec, cells in zip(asked["query_id"], asked["vec"], asked["cells"]):
+                low, high = np.searchsorted(cell, cells, "left"), np.searchsorted(cell, cells, "right")
+                own = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
+                if not len(own):
+                    continue
+                mine = code if len(own) == len(rows) else code[:, own]
+                rough = sum(table[c] for table, c in zip(model.tables(np.asarray(vec, dtype=float)), mine))
+                keep = min(refine, len(own))
+                near = np.flatnonzero(rough <= np.partition(rough, keep - 1)[keep - 1])
+                near = near[np.lexsort((rank[own[near]], rough[near]))[:keep]]  # ties by id
+                names.append(np.full(keep, name, dtype=asked["query_id"].dtype))
+                found.append(ids[own[near]])
+                least.append(rough[near])
+        flat = lambda x: np.concatenate(x) if x else []
+        return pd.DataFrame({"query_id": flat(names), "id": flat(found), "rough": flat(least)})
+
+    group = ["block", "part"]
     found = asks.groupBy(*group).cogroup(have.groupBy(*group)).applyInPandas(best, f"query_id {kind}, id {key}, rough double")
     return top_per_group(found, ["query_id"], [F.asc("rough"), F.asc("id")], refine).select("query_id", "id")
 
