@@ -163,3 +163,27 @@ def test_queries_are_sent_to_blocks_of_cells(spark, monkeypatch):
         table_of = index.model.tables(x[1100 + name])
         near = sorted(code, key=lambda i: (sum(t[c] for t, c in zip(table_of, code[i])), i))[:20]
         assert sorted(r.id for r in got if r.query_id == name) == sorted(near)
+
+
+def test_batches_to_cells_are_small(spark, monkeypatch):
+    """Visits go out in batches of bounded size, whatever the number of cells, and rows are held in blocks; results are those of all pairs."""
+    from tidemill.operators import neighbours as N
+
+    sizes = []
+    real = N._squares
+    monkeypatch.setattr(N, "SENT", 100)
+    monkeypatch.setattr(N, "HELD", 400)
+    monkeypatch.setattr(N, "_squares", lambda a, b: sizes.append(len(a)) or real(a, b))
+    x = np.random.default_rng(8).standard_normal((260, 6))
+    query = table(spark, x[200:])
+    plans = []
+    whole = type(query).mapInPandas
+    monkeypatch.setattr(type(query), "mapInPandas", lambda df, f, schema: plans.append(f) or whole(df, f, schema))
+    got = N.nearest(table(spark, x[:200]), query, 3, cells=20).collect()
+    want = plain(x[:200], x[200:], 3)
+    assert [(r.id, r.distance) for r in sorted(got, key=lambda r: (r.query_id, r.rn))] == [p for q in range(60) for p in want[q]]
+    import pandas as pd
+
+    batch = pd.DataFrame({"query_id": range(60), "vec": list(x[200:]), "bound": [float("nan")] * 60})
+    out = list(plans[2](iter([batch])))
+    assert max(len(b) for b in out) <= 100 and sum(len(b) for b in out) > 100

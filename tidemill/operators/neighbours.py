@@ -18,6 +18,9 @@ from .windows import top_per_group
 
 # --- k nearest neighbours ----------------------------------------------------------------------------
 
+#: Rows of a batch sent to the cells; distances that a task holds at a time.
+SENT, HELD = 20_000, 1 << 20
+
 
 def _to_matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
@@ -63,9 +66,9 @@ def nearest(
 
     def visits(first: bool):
         def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if not len(b):
-                    continue
+            # A query may visit all cells, with its vector each time.
+            step = max(1, SENT // len(centres))
+            for b in (whole.iloc[i : i + step] for whole in batches for i in range(0, len(whole), step)):
                 d = np.sqrt(_squares(_to_matrix(b["vec"]), centres))
                 # k rows lie within (distance to centre + radius) of the cells nearest by that sum.
                 reach = np.where(size > 0, d + radius, np.inf)
@@ -108,8 +111,9 @@ def nearest(
             if len(asks) and len(rows):
                 x = _to_matrix(rows["vec"])
                 ids = rows["id"].to_numpy()
-                for start in range(0, len(asks), 256):
-                    block = asks.iloc[start : start + 256]
+                step = max(1, HELD // len(rows))
+                for start in range(0, len(asks), step):
+                    block = asks.iloc[start : start + step]
                     q = _to_matrix(block["vec"])
                     rough = _squares(q, x)
                     kk = min(k, len(rows))
