@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import graph as G
 from tidemill.operators import models as L
+from tidemill.operators import recommend as C
 from tidemill.streaming import panes as P
 from tidemill.streaming import sinks as K
 from tidemill.streaming.sources import file_stream
@@ -75,3 +76,21 @@ def test_edges_are_cut_by_the_end_predicates_before_they_are_counted(spark, monk
     monkeypatch.setattr(G, "weighted", lambda vertices, edges: counted.append(edges.count()) or weighted(vertices, edges))
     rows = {(r.a, r.b, r.c): r.cnt for r in G.two_hops(v, e, "id = 'a'", "id = 'e'").collect()}
     assert rows == {("a", "b", "e"): 4} and counted == [4, 2]
+
+
+def test_baskets_are_made_once(spark):
+    """The counts and the fit read the baskets some ten times; what they are made of is worked out once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [(u, i) for u in range(20) for i in "abc" if u % 4 or i != "c"] + [(3, "a"), (None, "a"), (5, None)]
+    rows = spark.createDataFrame(rows, "user long, item string")
+    baskets = rows.mapInPandas(watched, rows.schema)
+    rules = C.association_rules(baskets, 0.2, 0.3).collect()
+    assert seen.value == rows.count()
+    assert {(tuple(sorted(r.antecedent)), *r.consequent): round(r.confidence, 3) for r in rules}[("a", "b"), "c"] == 0.75
+    assert C.pair_rules(baskets, 0.2, 0.3).count() and seen.value == 2 * rows.count()

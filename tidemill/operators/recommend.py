@@ -373,6 +373,7 @@ def pair_rules(
     baskets: DataFrame, min_support: float, min_confidence: float, min_lift: float = 0.0
 ) -> DataFrame:
     """One-to-one rules ``antecedent -> consequent`` with support, confidence and lift."""
+    baskets = cut_lineage(baskets.select("user", "item").distinct())
     total = baskets.select(F.count_distinct("user").alias("n"))
     rows = cut_lineage(frequent_rows(baskets, min_support))
     counts = rows.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
@@ -399,10 +400,14 @@ def pair_rules(
 def association_rules(
     baskets: DataFrame, min_support: float, min_confidence: float, min_lift: float = 0.0
 ) -> DataFrame:
-    """Rules of any length by FP-growth over the baskets pruned to frequent items."""
+    """Rules of any length by FP-growth over the baskets pruned to frequent items.
+
+    Baskets and lists are each written once: the counts and the fit read them some ten times.
+    """
+    baskets = cut_lineage(baskets.select("user", "item").distinct())
     total = baskets.agg(F.count_distinct("user").alias("n")).first()["n"]
     rows = frequent_rows(baskets, min_support)
-    lists = rows.groupBy("user").agg(F.collect_set("item").alias("items"))
+    lists = cut_lineage(rows.groupBy("user").agg(F.collect_set("item").alias("items")))
     # Baskets that lost all items still count in the support.
     kept = lists.count()
     model = FPGrowth(
