@@ -94,3 +94,36 @@ def test_baskets_are_made_once(spark):
     assert seen.value == rows.count()
     assert {(tuple(sorted(r.antecedent)), *r.consequent): round(r.confidence, 3) for r in rules}[("a", "b"), "c"] == 0.75
     assert C.pair_rules(baskets, 0.2, 0.3).count() and seen.value == 2 * rows.count()
+
+
+@pytest.mark.parametrize("folds", [None, 2])
+def test_texts_are_hashed_before_the_grid(spark, monkeypatch, folds):
+    """The fits get counts, not texts, and the points, the model and its labels are those of whole pipelines."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+
+    words = ["red", "green", "blue", "one", "two", "three"]
+    rows = [(i, " ".join(words[(i * k + i // 3) % 6] for k in range(1, 6)), "ab"[(i * i + i // 5) % 2]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").coalesce(2)
+    given = []
+    kind = CrossValidator if folds else TrainValidationSplit
+    fit = kind.fit
+    monkeypatch.setattr(kind, "fit", lambda self, data, *a: given.append(data.columns) or fit(self, data, *a))
+    model, table, names = L.choose_text_model(df, "id", "text", "lang", [], [4, 32], [0.5, 1.0], folds)
+    assert set(given[0]) == {"id", "label", "tf_4", "tf_32"}
+
+    stages, bayes = L.text_stages("text", [], 4), NaiveBayes(modelType="multinomial")
+    grid = ParamGridBuilder().addGrid(stages[-2].numFeatures, [4, 32]).addGrid(bayes.smoothing, [0.5, 1.0]).build()
+    plain = {"estimator": Pipeline(stages=[*stages, bayes]), "estimatorParamMaps": grid, "seed": 7}
+    plain["evaluator"] = MulticlassClassificationEvaluator(metricName="accuracy")
+    index = StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep").fit(df)
+    tuned = (CrossValidator(numFolds=folds, **plain) if folds else TrainValidationSplit(trainRatio=0.8, **plain)).fit(
+        index.transform(df).select("id", "text", "label")
+    )
+    want = [(p[stages[-2].numFeatures], p[bayes.smoothing], v) for p, v in zip(grid, tuned.avgMetrics if folds else tuned.validationMetrics)]
+    assert sorted(tuple(r) for r in table.collect()) == sorted(want) and names == index.labels
+    labels = [{r.id: r.label for r in L.label_of(m, df.drop("lang"), names).collect()} for m in (model, tuned.bestModel)]
+    assert labels[0] == labels[1]

@@ -104,23 +104,26 @@ def choose_text_model(
     """The text classifier whose number of hash buckets and smoothing do best, by one split or by ``folds`` folds.
 
     Returns the fitted pipeline, a table (buckets, smoothing, accuracy) and the class names in index order.
+    Texts are split once, and hashed once for each number of buckets, before the fits, which keep the counts and choose among them.
     """
     names = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep").fit(df)
-    rows = names.transform(df).select(key, text, "label")
-    stages = text_stages(text, stop_words, buckets[0])
-    hashing = next(s for s in stages if s.hasParam("numFeatures"))
+    *front, first, weights = text_stages(text, stop_words, buckets[0])
+    hashing = {f"tf_{n}": first.copy({first.numFeatures: n, first.outputCol: f"tf_{n}"}) for n in buckets}
+    rows = PipelineModel([*front, *hashing.values()]).transform(names.transform(df).select(key, text, "label"))
+    rows = rows.select(key, "label", *hashing)
     bayes = NaiveBayes(modelType="multinomial")
-    grid = ParamGridBuilder().addGrid(hashing.numFeatures, list(buckets)).addGrid(bayes.smoothing, list(smoothing)).build()
+    grid = ParamGridBuilder().addGrid(weights.inputCol, list(hashing)).addGrid(bayes.smoothing, list(smoothing)).build()
     judge = MulticlassClassificationEvaluator(metricName="accuracy")
-    settings = {"estimator": Pipeline(stages=[*stages, bayes]), "estimatorParamMaps": grid, "evaluator": judge, "seed": 7}
+    settings = {"estimator": Pipeline(stages=[weights, bayes]), "estimatorParamMaps": grid, "evaluator": judge, "seed": 7}
     if folds:
         tuned = CrossValidator(numFolds=folds, parallelism=parallelism, **settings).fit(rows)
         found = tuned.avgMetrics
     else:
         tuned = TrainValidationSplit(trainRatio=0.8, parallelism=parallelism, **settings).fit(rows)
         found = tuned.validationMetrics
-    table = [(int(g[hashing.numFeatures]), float(g[bayes.smoothing]), float(v)) for g, v in zip(grid, found)]
-    return tuned.bestModel, _table(df, table, "buckets int, smoothing double, accuracy double"), list(names.labels)
+    table = [(hashing[g[weights.inputCol]].getNumFeatures(), float(g[bayes.smoothing]), float(v)) for g, v in zip(grid, found)]
+    best = PipelineModel([*front, hashing[tuned.bestModel.stages[0].getInputCol()], *tuned.bestModel.stages])
+    return best, _table(df, table, "buckets int, smoothing double, accuracy double"), list(names.labels)
 
 
 def label_of(model: PipelineModel, texts: DataFrame, labels: Sequence[str]) -> DataFrame:
