@@ -127,3 +127,21 @@ def test_texts_are_hashed_before_the_grid(spark, monkeypatch, folds):
     assert sorted(tuple(r) for r in table.collect()) == sorted(want) and names == index.labels
     labels = [{r.id: r.label for r in L.label_of(m, df.drop("lang"), names).collect()} for m in (model, tuned.bestModel)]
     assert labels[0] == labels[1]
+
+
+def test_folds_keep_only_what_is_fitted(spark, monkeypatch):
+    """Keys and single features are kept by the split and again by each fold if they are passed on."""
+
+    class Cv:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, df):
+            raise _Seen(df.columns, df.count())
+
+    monkeypatch.setattr(L, "CrossValidator", Cv)
+    rows = spark.range(1000).selectExpr("concat('k', id) AS k", "id * 1.0D AS x", "id % 7 * 1.0D AS y", "id * 2.0D AS label")
+    with pytest.raises(_Seen) as seen:
+        L.elastic_net_report(rows, "k", ["x", "y"], "label")
+    columns, n = seen.value.args
+    assert columns == ["features", "label"] and 700 < n < 900

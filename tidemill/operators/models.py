@@ -227,15 +227,16 @@ def elastic_net_report(
     iterations: int = 100,
 ) -> DataFrame:
     """One row: chosen parameters, test mae and r2, and the training summary of the best model (by L-BFGS)."""
-    train, test = _parts(df, key)
+    join = VectorAssembler(inputCols=list(features), outputCol="features")
+    # Only what is fitted is kept: the splits of the folds keep it once more.
+    train, test = (join.transform(part).select("features", label).persist() for part in split(df, key, [0.8, 0.2], 81))
     lr = LinearRegression(labelCol=label, maxIter=iterations, solver="l-bfgs")
     grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.elasticNetParam, list(nets)).build()
-    join = VectorAssembler(inputCols=list(features), outputCol="features")
     cv = CrossValidator(
         estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=label, metricName="mae"), numFolds=folds, seed=7, parallelism=2
     )
-    best = cv.fit(join.transform(train)).bestModel
-    quality = metrics.regression(best.transform(join.transform(test)), label, "prediction").first()
+    best = cv.fit(train).bestModel
+    quality = metrics.regression(best.transform(test), label, "prediction").first()
     s = best.summary
     row = (
         float(best.getRegParam()), float(best.getElasticNetParam()), [float(c) for c in best.coefficients], float(best.intercept),
