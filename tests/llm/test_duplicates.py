@@ -184,6 +184,49 @@ def test_documents_apart_within_a_group(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_components(rows)
 
 
+def large_group(rng, classes=12, size=10):
+    """Classes of copies of one long text, each less than 0.8 like the others, though most sketches allow links."""
+    base, rows = prose(rng, 200).split(), []
+    for k in range(classes):
+        own = mutated(rng, base, 0.025)
+        rows += [(100 * k + j, " ".join(mutated(rng, own, 0.006))) for j in range(size)]
+    return rows
+
+
+@pytest.mark.parametrize("docs,shingles", [(256, 500_000), (7, 10**6), (10**6, 2000)])
+def test_a_large_group_gives_rows_by_its_documents(spark, monkeypatch, docs, shingles):
+    """What goes on from a group of documents that do not link grows with the documents, not with their pairs."""
+    monkeypatch.setattr(N, "BLOCK_DOCS", docs)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", shingles)
+    rows, seen, apart = large_group(random.Random(21)), [], N._apart
+
+    def counted(*args):
+        seen.append(apart(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(N, "_apart", counted)
+    got = N.near_components(table(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_components(rows)
+    assert 0 < seen[0].count() < 2 * len(rows)
+
+
+def test_linked_and_gathered():
+    from fractions import Fraction
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 100, dtype=np.uint64)
+    held = [(i, i, i, np.unique(np.append(base[: 100 - 6 * (i % 5)], rng.integers(0, 2**63, 3 * (i % 7), dtype=np.uint64)))) for i in range(40)]
+    pairs = itertools.combinations(range(40), 2)
+    common = {(a, b): len(np.intersect1d(held[a][3], held[b][3])) for a, b in pairs}
+    links = [p for p, c in common.items() if 5 * c >= 4 * (len(held[p[0]][3]) + len(held[p[1]][3]) - c)]
+    ends = N._linked(held, Fraction(4, 5))
+    member, centre = N._gathered(*np.array(links).T)
+    assert 0 < len(links) < len(common)
+    assert set(zip(*[c.to_pylist() for c in ends.columns])) == set(zip(member.tolist(), centre.tolist()))
+    assert N._linked([], Fraction(4, 5)).num_rows == 0
+    assert [e.tolist() for e in N._gathered(np.array([5, 9, 2, 8]), np.array([4, 8, 4, 8]))] == [[4, 5, 9], [2, 2, 8]]
+
+
 def test_every_pair_within_reach_shares_a_key():
     import numpy as np
     from fractions import Fraction

@@ -13,8 +13,9 @@ Segments have many bits but few odd ones, so a segment is kept as the XOR of one
 Documents that share a key form a group. A group is a star around its smallest doc_id, found in a sorted stream. Pairs are
 first held to their sizes and to a short whole sketch, whose Hamming distance may not be more than a link allows. The first
 round then verifies each document against the centre it shares most keys with, and the second against other centres that it
-is still apart from. What is linked by then needs no further comparison; the third round verifies the pairs within a group whose
-documents are apart and whose sketches allow a link.
+is still apart from. What is linked by then needs no further comparison; the third round takes the pairs within a group whose documents are apart and whose
+sketches allow a link. These pairs stay in the task that finds them: it gives back which documents they connect, a row a
+document, and documents so connected are held to each other by their exact sets, block by block.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..session import cut_lineage, small_side
+from ..session import cut_lineage, fits, small_side
 from .common import id_and_text, rows
 from .shingles import Shingler, mix
 
@@ -42,7 +43,9 @@ MEMBERS = 256
 #: Documents of one group that are held to each other in one piece of work.
 GROUP_DOCS = 2_000
 #: Pairs, and words of sketches, that a task lays out at a time when it holds a group's documents to each other.
-PAIRS, WORDS = 300_000, 2_000_000
+PAIRS, WORDS = 100_000, 500_000
+#: Documents, and shingles, of a block of documents whose exact sets are held to each other.
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 500_000
 BAND = Fraction(5, 4)
 #: Shares of common shingles that the first sketches of a set allow for.
 COMMON_SHARES = (0.0, 0.35, 0.55)
@@ -231,7 +234,7 @@ STARS = "kind byte, key long, doc long, centre long, n long, own long, sketches
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (kind, key, doc): every document once with the first of its equal sets as centre, and
+    """From rows sorted by (key, kind, doc): every document once with the first of its equal sets as centre, and
     of groups with two documents or more a row (key, doc, centre) for each but the centre."""
     last = None  # kind, key, doc of the row before, centre of its group
     sketch = pa.list_(pa.struct([("low", pa.int64()), ("bits", pa.list_(pa.int64()))]))
@@ -367,7 +370,8 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     least = Fraction(percent, 100)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width).tobytes())  # a list of bounded length
     dealt = id_and_text(docs).mapInArrow(_sketches(width, least, common), SKETCH)
-    placed = dealt.repartition("kind", "key").sortWithinPartitions("kind", "key", "doc")
+    # Sorted by key first, as rows are compared by the first column and only then, one by one, by the others.
+    placed = dealt.repartition("kind", "key").sortWithinPartitions("key", "kind", "doc")
     stars = cut_lineage(placed.mapInArrow(_stars, STARS))
     named = stars.where(F.col("kind") != SEGMENT)
     grouped = stars.where(F.col("kind") == SEGMENT).select("key", "doc", "centre")
@@ -393,10 +397,9 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     second = cut_lineage(_verify(docs, others.join(first.select("doc", "centre"), ["doc", "centre"], "left_anti"), width))
     label = _merged(label, second.where(linked).select("doc", "centre"))
 
-    done = first.unionByName(second)
-    inner = _apart(grouped, counts, label, members, least)
-    third = _verify(docs, inner.join(done.select("doc", "centre"), ["doc", "centre"], "left_anti"), width)
-    label = _merged(label, cut_lineage(third.where(linked).select("doc", "centre")))
+    met = cut_lineage(_apart(grouped, counts, label, members, least))
+    if not fits(met, 0):
+        label = _merged(label, cut_lineage(_links_among(docs, met, label, members, least, width)))
 
     node = F.when(F.col("kind") == COPY, F.col("centre")).when(F.col("kind") != NAMELESS, F.col("doc"))
     out = named.withColumn("node", node).join(label, F.col("node") == F.col("id"), "left")
@@ -437,11 +440,11 @@ def _with_labels(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _apart(grouped: DataFrame, counts: DataFrame, label: DataFrame, members: DataFrame, least: Fraction) -> DataFrame:
-    """Pairs (doc, centre) of two documents in a group, neither its centre, that are not linked so far, and whose sizes and
-    sketches allow a link.
+    """Pairs (doc, centre) that connect all documents which some pair connects: of two documents in a group, neither its centre,
+    that are not linked so far, and whose sizes and sketches allow a link.
 
-    A group's documents are held to each other where they lie, and only such pairs come out. Groups of more than ``GROUP_DOCS``
-    are cut into blocks, and each pair of blocks is a piece of work of its own.
+    A group's documents are held to each other where they lie, and what comes out grows with the documents, not with such pairs. Groups
+    of more than ``GROUP_DOCS`` are cut into blocks, and each pair of blocks is a piece of work of its own.
     """
     # Only groups in which some document is apart from the centre hold pairs that are apart.
     open_stars = _with_labels(counts.select("doc", "centre"), label).where("own <> other").select("doc", "centre")
@@ -471,8 +474,9 @@ def _sketch_places(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _held_to_each_other(least: Fraction):
-    """From rows sorted by (key, lo, hi): the pairs within a group that are apart and whose sizes and sketches allow a link. Pairs are
-    laid out ``PAIRS`` at a time, over all groups of a batch; in the order of size a row's partners are a stretch."""
+    """From rows sorted by (key, lo, hi): what the pairs within a group connect (see ``_gathered``) that are apart and whose sizes and
+    sketches allow a link. Pairs are laid out ``PAIRS`` at a time, over all groups of a batch; in the order of size a row's partners
+    are a stretch."""
     num, den = least.numerator, least.denominator
     names = ["doc", "centre"]
 
@@ -497,7 +501,7 @@ def _held_to_each_other(least: Fraction):
         partners = end - np.arange(len(end)) - 1
         total = np.cumsum(partners)
         sketch, place, words, values = _sketch_places(batch.column("sketches"))
-        at = 0
+        at, ends = 0, (doc[:0], doc[:0])
         while at < len(order):
             before = total[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(total, before + PAIRS, side="right")))
@@ -523,8 +527,8 @@ def _held_to_each_other(least: Fraction):
                     word = np.arange(width)
                     differ = values[place[mine[some], None] + word] ^ values[place[theirs[some], None] + word]
                     near[some] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[some]
-            ends = np.unique(np.stack([doc[x[near]], doc[y[near]]]), axis=1)
-            yield pa.record_batch([pa.array(ends.max(axis=0)), pa.array(ends.min(axis=0))], names=names)
+            ends = _gathered(np.append(ends[0], doc[x[near]]), np.append(ends[1], doc[y[near]]))
+        yield pa.record_batch([pa.array(e) for e in ends], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the group that may go on
@@ -541,6 +545,101 @@ def _held_to_each_other(least: Fraction):
     return run
 
 
+def _gathered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(member, least member) for the members, but the least, of each class of numbers that the pairs (a, b) connect."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right, root = at[: len(a)], at[len(a) :], np.arange(len(ids))
+    while True:
+        low, lower = np.minimum(root[left], root[right]), root.copy()
+        np.minimum.at(lower, root[left], low)
+        np.minimum.at(lower, root[right], low)
+        while (lower[lower] != lower).any():
+            lower = lower[lower]
+        if (lower == root).all():
+            member = root != np.arange(len(ids))
+            return ids[member], ids[root[member]]
+        root = lower
+
+
+def _links_among(docs: DataFrame, near: DataFrame, label: DataFrame, members: DataFrame, least: Fraction, width: int) -> DataFrame:
+    """(doc, centre): what the links connect between documents that the pairs ``near`` (doc, centre) connect and ``label`` does not.
+
+    Documents so connected are dealt to blocks of bounded size. Each pair of blocks is a piece of work, to which the sets of both go, and
+    which gives back a row a document at most.
+    """
+    ids = near.select(F.explode(F.array("doc", "centre")).alias("id"))
+    connected = components(ids, near.select(F.col("doc").alias("src"), F.col("centre").alias("dst")))
+    clumps = cut_lineage(connected.select(F.col("id").alias("doc"), F.col("component").alias("clump")))
+    sizes = clumps.join(members.select("doc", "n"), "doc").groupBy("clump")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
+    blocks = cut_lineage(sizes.agg((F.floor(most) + 1).alias("blocks")))
+    names = label.select(F.col("id").alias("doc"), "component")
+    placed = clumps.join(small_side(blocks), "clump").join(names, "doc", "left")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    place = F.struct(
+        "clump", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+        F.coalesce("component", "doc").alias("component"),
+    )
+    piece = F.floor(F.col("other") / 1024)  # lists of bounded length
+    wanted = cut_lineage(placed.groupBy(F.col("doc").alias("want"), piece.alias("piece")).agg(F.collect_list(place).alias("places")))
+    found = id_and_text(docs).join(small_side(wanted), F.col("doc_id") == F.col("want")).select("doc_id", "text", "places")
+    kept = ["clump", "lo", "hi", "block", "component"]
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for batch in batches:
+            for (doc, data), places in zip(rows(batch), batch.column("places")):
+                items = shingler(data or b"").tobytes()
+                listed = places.as_py() if items else []
+                for at in range(0, len(listed), 100):
+                    some = listed[at : at + 100]
+                    columns = [*[[p[k] for p in some] for k in kept], [doc] * len(some), [items] * len(some)]
+                    yield pa.record_batch(columns, names=[*kept, "doc", "items"])
+
+    order = ["clump", "lo", "hi"]
+    shape = ", ".join([*[f"{k} long" for k in kept], "doc long", "items binary"])
+    stream = found.mapInArrow(sets, shape).repartition(*order).sortWithinPartitions(*order)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            places = zip(*[batch.column(c).to_pylist() for c in [*kept, "doc"]])
+            for (*key, block, component, doc), value in zip(places, batch.column("items")):
+                if key != at:
+                    yield _linked(held, least)
+                    at, held = key, []
+                # Within one block all are held to each other.
+                held.append((block if key[1] != key[2] else len(held), component, doc, np.frombuffer(value.as_py(), dtype=np.uint64)))
+        yield _linked(held, least)
+
+    return stream.mapInArrow(link, "doc long, centre long").distinct()
+
+
+def _linked(held: list[tuple[int, int, int, np.ndarray]], least: Fraction) -> pa.RecordBatch:
+    """What the links connect (see ``_gathered``) between (block, component, doc, set) of different blocks and components."""
+    num, den = least.numerator, least.denominator
+    held = sorted(held, key=lambda h: len(h[3]))
+    block, component, doc = (np.array([h[k] for h in held], dtype=np.int64) for k in range(3))
+    n = np.array([len(h[3]) for h in held], dtype=np.int64)
+    start = np.append(0, np.cumsum(n))
+    values, place = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[h[3] for h in held]]), return_inverse=True)
+    own, a, b = np.zeros(len(values), dtype=bool), [doc[:0]], [doc[:0]]
+    for i, end in enumerate(np.searchsorted(n, n * den // num, side="right").tolist()):
+        j = np.arange(i + 1, end)
+        some = (component[j] != component[i]) & (block[j] != block[i])
+        if not some.any():
+            continue
+        own[place[start[i] : start[i + 1]]] = True
+        common = np.add.reduceat(own[place[start[i + 1] : start[end]]], start[j] - start[i + 1], dtype=np.int64)
+        own[place[start[i] : start[i + 1]]] = False
+        near = j[some & (common * den >= num * (n[i] + n[j] - common))]
+        a.append(np.full(len(near), doc[i]))
+        b.append(doc[near])
+    ends = _gathered(np.concatenate(a), np.concatenate(b))
+    return pa.record_batch([pa.array(e) for e in ends], names=["doc", "centre"])
+
+
 def keep_one(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """``docs`` with the document of least doc_id of each class of near duplicates; all columns stay.
 
