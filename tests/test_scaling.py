@@ -145,3 +145,23 @@ def test_folds_keep_only_what_is_fitted(spark, monkeypatch):
         L.elastic_net_report(rows, "k", ["x", "y"], "label")
     columns, n = seen.value.args
     assert columns == ["features", "label"] and 700 < n < 900
+
+
+def test_pairs_of_words_are_dealt_by_the_number_of_texts(spark, monkeypatch):
+    """Query ``ngrams`` counts in as many tasks as its texts ask for, and the session's own number of partitions comes back."""
+    from collections import Counter
+
+    from tidemill.functions import text as X
+    from tidemill.plans import registry
+    from tidemill.session import shuffle_width
+
+    registry.load_all()
+    texts = ["a b a b", "", None, "One one", *[f"a b {chr(97 + i)}x" for i in range(20)]]
+    docs = spark.createDataFrame([(i % 7 or None, text) for i, text in enumerate(texts)], "doc_id long, text string")
+    before, seen, written = shuffle_width(spark), [], X.cut_lineage
+    monkeypatch.setattr(X, "TASK_TEXTS", 2)
+    monkeypatch.setattr(X, "cut_lineage", lambda df: seen.append(shuffle_width(spark)) or written(df))
+    got = registry.JOBS["ngrams"](type("T", (), {"documents": docs})())
+    words = [(text or "").lower().split() for text in texts]
+    assert Counter({r.gram: r.cnt for r in got.collect()}) == Counter(" ".join(p) for w in words for p in zip(w, w[1:]))
+    assert seen == [12] and shuffle_width(spark) == before

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, shuffle_width, shuffles_for
+
+#: Texts whose different tokens a task holds at a time.
+TASK_TEXTS = 5_000
 WORD_PATTERN = r"[A-Za-z']+"
 LATIN_UPPER = "A-ZÀ-ÖØ-Þ"
 LATIN_LOWER = "a-zß-öø-ÿ"
@@ -61,6 +65,15 @@ def word_count(df: DataFrame, tokens: Column, name: str = "word") -> DataFrame:
     return df.select(F.explode(tokens).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def many_word_count(texts: DataFrame, tokens: Column, rest: Column, name: str = "word") -> DataFrame:
+    """``word_count`` where most tokens are different ones: of ``rest``, made of the column ``tokens``. Texts are dealt to tasks by number,
+    and so are the counts, which are written once, so that a task's memory does not follow the input."""
+    spark, held = texts.sparkSession, texts.count()
+    with shuffles_for(spark, held, TASK_TEXTS):
+        dealt = texts.repartition(shuffle_width(spark), F.xxhash64(*texts.columns))
+        return cut_lineage(word_count(dealt.select(tokens.alias("tokens")), rest, name))
+
+
 def proper_nouns(
     tokens: Column,
     upper: str = CYRILLIC_UPPER,

@@ -90,8 +90,7 @@ def char_counts(t: Tables) -> DataFrame:
 )
 def ngrams(t: Tables) -> DataFrame:
     """Bigram counts."""
-    rows = _texts(t).select(X.letter_tokens("text").alias("tokens"))
-    return X.word_count(rows, X.bigrams(F.col("tokens")), "gram")
+    return X.many_word_count(_texts(t), X.letter_tokens("text"), X.bigrams(F.col("tokens")), "gram")
 
 
 @job(
