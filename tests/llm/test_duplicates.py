@@ -184,11 +184,11 @@ def test_documents_apart_within_a_group(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_components(rows)
 
 
-def large_group(rng, classes=12, size=10):
+def large_group(rng, classes=60, size=2):
     """Classes of copies of one long text, each less than 0.8 like the others, though most sketches allow links."""
     base, rows = prose(rng, 200).split(), []
     for k in range(classes):
-        own = mutated(rng, base, 0.025)
+        own = mutated(rng, base, 0.018)
         rows += [(100 * k + j, " ".join(mutated(rng, own, 0.006))) for j in range(size)]
     return rows
 
@@ -210,6 +210,19 @@ def test_a_large_group_gives_rows_by_its_documents(spark, monkeypatch, docs, shi
     assert 0 < seen[0].count() < 2 * len(rows)
 
 
+def test_a_group_gives_back_a_row_a_document():
+    """40 documents of one group that all may link with each other: 780 pairs stay in the task."""
+    import pyarrow as pa
+    from fractions import Fraction
+
+    n = 40
+    same = {name: [value] * n for name, value in (("key", 1), ("lo", 0), ("hi", 0), ("block", 0), ("n", 50), ("own", 50))}
+    sketch = pa.array([[{"low": 50, "bits": [3, 5]}]] * n, pa.list_(pa.struct([("low", pa.int64()), ("bits", pa.list_(pa.int64()))])))
+    batch = pa.RecordBatch.from_pydict(same | {"doc": list(range(n)), "component": list(range(n)), "sketches": sketch})
+    out = pa.Table.from_batches(N._held_to_each_other(Fraction(4, 5))(iter([batch])))
+    assert sorted(zip(out["doc"].to_pylist(), out["centre"].to_pylist())) == [(i, 0) for i in range(1, n)]
+
+
 def test_linked_and_gathered():
     from fractions import Fraction
 
