@@ -185,7 +185,7 @@ def test_documents_apart_within_a_group(spark):
 
 
 def large_group(rng, classes=60, size=2):
-    """Classes of copies of one long text, each less than 0.8 like the others, though most sketches allow links."""
+    """Copies of edited copies of one long text, so that similarities lie on both sides of the limit."""
     base, rows = prose(rng, 200).split(), []
     for k in range(classes):
         own = mutated(rng, base, 0.018)
