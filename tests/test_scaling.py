@@ -1,6 +1,12 @@
 """Work that must not grow with settings or faster than the rows."""
 
+import threading
+
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tidemill.operators import graph as G
@@ -35,6 +41,30 @@ def test_fits_get_no_more_parts_than_rows_are_worth(spark, monkeypatch):
     assert many.rdd.getNumPartitions() == 30 and many.count() == 1000
 
 
+def test_folds_are_fitted_side_by_side(spark):
+    """All four fits are under way at once; values and choice are those of the folds one after the other."""
+    all_of_them, waiting = threading.Barrier(4), []
+
+    class Waits(LinearRegression):
+        def _fit(self, dataset):
+            if len(waiting) < 4:
+                waiting.append(1)
+                all_of_them.wait(60)
+            return super()._fit(dataset)
+
+    rows = spark.range(200).selectExpr("id * 1.0D AS x", "id * 2.0D + id % 7 AS label").coalesce(2)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows).persist()
+    grid = ParamGridBuilder().addGrid(LinearRegression.regParam, [0.1, 1000.0]).build()
+
+    def fitted(kind, model):
+        points = [{model.regParam: v for v in point.values()} for point in grid]
+        return kind(estimator=model, estimatorParamMaps=points, evaluator=RegressionEvaluator(), numFolds=2, seed=7).fit(rows)
+
+    plain, together = fitted(CrossValidator, LinearRegression()), fitted(type("Validator", (L._FoldsAtOnce, CrossValidator), {}), Waits())
+    assert together.avgMetrics == pytest.approx(plain.avgMetrics) and together.bestModel.getRegParam() == plain.bestModel.getRegParam() == 0.1
+    rows.unpersist()
+
+
 def test_state_partitions_follow_rows(spark, monkeypatch):
     """Each state partition opens a store and a worker in every batch, however few rows there are."""
     monkeypatch.setattr(P, "shuffle_width", lambda _: 200)
