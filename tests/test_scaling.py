@@ -5,6 +5,7 @@ import threading
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
@@ -41,6 +42,33 @@ def test_fits_get_no_more_parts_than_rows_are_worth(spark, monkeypatch):
     assert many.rdd.getNumPartitions() == 30 and many.count() == 1000
 
 
+def test_points_of_the_factorisation_are_fitted_side_by_side(spark, monkeypatch):
+    """A fit of few ratings is a chain of small stages; fits one after the other leave most cores idle."""
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(10) if (u + i) % 4]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    monkeypatch.setattr(C, "FITS_AT_ONCE", 1, raising=False)
+    alone = C.als_choose(ratings, [2], [0.1, 1.0], folds=2, iterations=2).collect()
+    both = threading.Barrier(2)
+
+    class Waits(ALS):
+        def _fit(self, dataset):
+            both.wait(60)
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(C, "FITS_AT_ONCE", 4, raising=False)
+    monkeypatch.setattr(C, "ALS", Waits)
+    found = C.als_choose(ratings, [2], [0.1, 1.0], folds=2, iterations=2).collect()
+    assert [r[:3] for r in found] == [r[:3] for r in alone] == [(2, 0.1, 90), (2, 1.0, 90)]
+    assert [r.rmse for r in found] == pytest.approx([r.rmse for r in alone])
+
+
+def test_blocks_of_the_factorisation_follow_the_ratings():
+    """A task holds the ratings of a block; with ten blocks whatever the input, an executor's memory follows it."""
+    few, many = C._als(100, 2, 0.1, 3), C._als(50 * C.BLOCK_RATINGS, 2, 0.1, 3)
+    assert (few.getNumUserBlocks(), few.getNumItemBlocks(), few.getCheckpointInterval()) == (10, 10, 10)
+    assert (many.getNumUserBlocks(), many.getNumItemBlocks(), many.getCheckpointInterval()) == (50, 50, 1)
+
+
 def test_folds_are_fitted_side_by_side(spark):
     """All four fits are under way at once; values and choice are those of the folds one after the other."""
     all_of_them, waiting = threading.Barrier(4), []
