@@ -1,6 +1,7 @@
 """Work that must not grow with settings or faster than the rows."""
 
 import threading
+import time
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemill.operators import graph as G
 from tidemill.operators import models as L
 from tidemill.operators import recommend as C
+from tidemill.operators.sampling import split
+from tidemill.session import cut_lineage
 from tidemill.streaming import panes as P
 from tidemill.streaming import sinks as K
 from tidemill.streaming.sources import file_stream
@@ -93,6 +96,39 @@ def test_folds_are_fitted_side_by_side(spark):
     rows.unpersist()
 
 
+@pytest.mark.parametrize(("light", "at_once"), [(9, 30), (256, 500)])
+def test_pairs_and_predictions_by_slices(spark, light, at_once):
+    """Slices together are the whole result, whether or not there are users that go through blocks."""
+    rows = [(None if u == 3 else u, None if i == 4 else i, float(1 + (u * i) % 5)) for u in range(30) for i in range(20) if (u * 7 + i * 3) % 5 and (u % 3 or i < 9)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    as_set = lambda df: sorted(map(tuple, df.collect()), key=str)
+    whole = C.item_similarity(ratings, digits=8, light=light)
+    slices = C.similarity_slices(ratings, digits=8, light=light, at_once=at_once)
+    assert len(slices) > 3 and sorted(r for s in slices for r in as_set(s)) == sorted(as_set(whole))
+    sims = C.truncate(whole, 4)
+    assert as_set(C.similar_items(ratings, 4, digits=8, light=light, at_once=at_once)) == as_set(sims)
+    known = ratings.where("user is not null and item is not null")
+    train, test = split(known.withColumn("k", F.concat_ws(":", "user", "item")), "k", [0.8, 0.2], 1)
+    train, test = train.drop("k"), test.drop("k")
+    one, many = C.predict(train, sims), C.predict_slices(train, sims, at_once=500)
+    assert len(many) > 3
+    best = lambda df: C.recommend(df, 3)
+    assert as_set(C.each_slice(many, best)) == as_set(best(one))
+    a, b = C.rmse(many, test).first(), C.rmse(one, test).first()
+    assert a.pairs == b.pairs > 0 and a.rmse == pytest.approx(b.rmse)
+    assert tuple(C.rmse(one.limit(0), test).first()) == (0, None)
+
+
+def test_a_written_stage_leaves_no_shuffles(spark):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    before = blocks.getAllBlocks().size()
+    out = cut_lineage(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count())
+    end = time.time() + 20  # files go beside the driver
+    while blocks.getAllBlocks().size() > before and time.time() < end:
+        time.sleep(0.2)
+    assert blocks.getAllBlocks().size() <= before and out.count() == 10
+
+
 def test_state_partitions_follow_rows(spark, monkeypatch):
     """Each state partition opens a store and a worker in every batch, however few rows there are."""
     monkeypatch.setattr(P, "shuffle_width", lambda _: 200)
