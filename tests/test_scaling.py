@@ -129,6 +129,22 @@ def test_a_written_stage_leaves_no_shuffles(spark):
     assert blocks.getAllBlocks().size() <= before and out.count() == 10
 
 
+def test_edges_are_written_before_their_ends_are_looked_up(spark, monkeypatch):
+    """The shuffles of the counts, of either end and of the flow are on disk one after the other, not all at once."""
+    written = []
+
+    def cut(df):
+        written.append(df.columns)
+        return cut_lineage(df)
+
+    monkeypatch.setattr(G, "cut_lineage", cut)
+    v = spark.createDataFrame([(i,) for i in "abc"], "id string")
+    e = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "x"), (None, "a")], "src string, dst string")
+    ranks = {r.id: r.pagerank for r in G.pagerank(v, e, steps=2, normalize=False).collect()}
+    assert [sorted(c) for c in written] == [["id"], ["dst", "src", "w"], ["dst", "src", "w"], ["dst", "p", "src"]]
+    assert ranks == {"a": pytest.approx(0.1), "b": pytest.approx(0.1 + 0.9 * 0.1 * 2 / 3), "c": pytest.approx(0.1 + 0.9 * 0.1 / 3)}
+
+
 def test_state_partitions_follow_rows(spark, monkeypatch):
     """Each state partition opens a store and a worker in every batch, however few rows there are."""
     monkeypatch.setattr(P, "shuffle_width", lambda _: 200)

@@ -35,8 +35,15 @@ def degrees(e: DataFrame, end: str, name: str) -> DataFrame:
 
 def weighted(v: DataFrame, e: DataFrame) -> DataFrame:
     """Distinct known (src, dst) with the number ``w`` of parallel edges."""
+    return _known_ends(v, _counted(e))
+
+
+def _counted(e: DataFrame) -> DataFrame:
+    return e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+
+
+def _known_ends(v: DataFrame, w: DataFrame) -> DataFrame:
     ids = v.select("id").distinct()
-    w = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
     w = w.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
     return w.join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
 
@@ -50,7 +57,7 @@ def pagerank(
     ``normalize`` rescales the result to sum to the number of vertices, since sinks lose rank.
     """
     ids = cut_lineage(v.select("id").distinct())
-    w = weighted(ids, e)
+    w = cut_lineage(_known_ends(ids, cut_lineage(_counted(e))))  # each write lets go of the shuffles before it
     out = w.groupBy("src").agg(F.sum("w").alias("o"))
     flow = cut_lineage(w.join(out, "src").select("src", "dst", (F.col("w") / F.col("o")).alias("p")))
     ranks = ids.withColumn("pagerank", F.lit(1.0))
