@@ -117,6 +117,8 @@ def test_pairs_and_predictions_by_slices(spark, light, at_once):
     a, b = C.rmse(many, test).first(), C.rmse(one, test).first()
     assert a.pairs == b.pairs > 0 and a.rmse == pytest.approx(b.rmse)
     assert tuple(C.rmse(one.limit(0), test).first()) == (0, None)
+    gap = spark.createDataFrame([(1, 1, 2.0), (1, 2, None)], "user long, item long, rating double")
+    assert tuple(C.rmse([gap.selectExpr("user", "item", "3.0D AS prediction")], gap).first()) == (2, 1.0)
 
 
 def test_a_written_stage_leaves_no_shuffles(spark):
